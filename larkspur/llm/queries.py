@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from larkspur.llm import line_dedup
+from larkspur.llm import bpe, line_dedup, simhash
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_simhash_near_dedup": simhash.query,
+    "op6_byte_bpe": bpe.query,
 }
 
 ORACLES = {
