@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from larkspur.llm import bpe, line_dedup, simhash
+from larkspur.llm import bpe, langid, line_dedup, sharding, simhash, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_simhash_near_dedup": simhash.query,
     "op6_byte_bpe": bpe.query,
+    "op7_warc": warc.query,
+    "op9_sharding": sharding.query,
+    "op10_language_id": langid.query,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op7_warc": warc.ORACLE,
 }
