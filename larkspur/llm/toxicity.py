@@ -33,8 +33,8 @@ from larkspur.llm.langid import held_out, sample_of
 
 DIMS = 1 << 20
 SAMPLE_ROWS = 5000
-EPOCHS = 6
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 1e-3
+EPOCHS = 10
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 10.0, 1e-3
 THRESHOLD = 0.3
 PREFIXES = range(3, 8)
 SPACED_RUN = 4
