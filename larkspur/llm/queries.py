@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from larkspur.llm import bpe, langid, line_dedup, sharding, simhash, toxicity, warc
+from larkspur.llm import bpe, decontam, langid, line_dedup, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_simhash_near_dedup": simhash.query,
+    "op3_decontamination": decontam.query,
     "op5_toxicity": toxicity.query,
     "op6_byte_bpe": bpe.query,
     "op7_warc": warc.query,
