@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from larkspur.llm import bpe, decontam, langid, line_dedup, sharding, simhash, toxicity, warc
+from larkspur.llm import bpe, decontam, embed_dedup, langid, line_dedup, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_simhash_near_dedup": simhash.query,
     "op3_decontamination": decontam.query,
+    "op4_embedding_near_dedup": embed_dedup.query,
     "op5_toxicity": toxicity.query,
     "op6_byte_bpe": bpe.query,
     "op7_warc": warc.query,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op4_embedding_near_dedup": embed_dedup.ORACLE,
     "op7_warc": warc.ORACLE,
 }
