@@ -178,10 +178,15 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def sample_of(rows: DataFrame, size: int) -> DataFrame:
-    """About size rows: those whose id has a hash no greater than the size-th least one."""
-    rows = rows.withColumn("__order", F.xxhash64(F.lit(17), F.col("id").cast("string")))
-    last = rows.select("__order").orderBy("__order").limit(size).agg(F.max("__order")).first()[0]
-    return rows.filter(F.col("__order") <= F.lit(last)).drop("__order").limit(2 * size)
+    """At most about size rows: the ids whose hash is no greater than the size-th least one.
+
+    Of rows that share an id the one of least hash is taken, so repeated ids cannot swell the sample.
+    """
+    rest = [c for c in rows.columns if c != "id"]
+    order = F.xxhash64(F.lit(17), F.col("id").cast("string"))
+    last = rows.select(order.alias("o")).orderBy("o").limit(size).agg(F.max("o")).first()[0]
+    picked = rows.filter(order <= F.lit(last)).groupBy("id")
+    return picked.agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("r")).select("id", "r.*")
 
 
 COUNTED = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("at", "counts")])

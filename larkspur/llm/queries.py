@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import bpe, decontam, embed_dedup, langid, line_dedup, sharding, simhash, toxicity, warc
+from larkspur.llm import bpe, decontam, embed_dedup, langid, line_dedup, secret_scan, sharding, simhash, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.query,
     "op6_byte_bpe": bpe.query,
     "op7_warc": warc.query,
+    "op8_secret_scan": secret_scan.query,
     "op9_sharding": sharding.query,
     "op10_language_id": langid.query,
 }
