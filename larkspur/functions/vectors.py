@@ -18,45 +18,30 @@ def word_tokens(text: Column) -> Column:
 
 def word_grams(text: Column, low: int, high: int) -> Column:
     tokens = word_tokens(text)
-    parts = [
-        F.when(
-            F.size(tokens) >= n,
-            F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
-    return F.concat(*parts)
+
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.size(tokens) - n + 1)
+        joined = F.transform(places, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+        return F.when(F.size(tokens) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[of(n) for n in range(low, high + 1)])
+
+
+def _windows(word: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, n))
 
 
 def char_wb_grams(text: Column, low: int, high: int) -> Column:
-    """Character windows of words with one blank on either side; a shorter word gives itself once."""
-    padded = F.transform(F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+    """Character windows of words with one blank on either side; a word too short for a size gives itself once and ends there."""
+    words = F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")
+    padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
     def of(n: int) -> Column:
-        return F.flatten(
-            F.transform(
-                padded,
-                lambda w: F.when(F.length(w) <= n, F.array(w)).otherwise(
-                    F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, n))
-                ),
-            )
-        )
-
-    # a word no longer than a size gives itself for that size only, and ends the sizes
-    parts = [of(low)]
-    for n in range(low + 1, high + 1):
-        longer = F.filter(padded, lambda w, n=n: F.length(w) > n - 1)
-        parts.append(
-            F.flatten(
-                F.transform(
-                    longer,
-                    lambda w, n=n: F.when(F.length(w) < n, F.array().cast("array<string>")).otherwise(
-                        F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, n))
-                    ),
-                )
-            )
-        )
-    return F.concat(*parts)
+        if n == low:
+            return F.flatten(F.transform(padded, lambda w: F.when(F.length(w) <= n, F.array(w)).otherwise(_windows(w, n))))
+        return F.flatten(F.transform(F.filter(padded, lambda w: F.length(w) >= n), lambda w: _windows(w, n)))
+
+    return F.concat(*[of(n) for n in range(low, high + 1)])
 
 
 def term_counts(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from larkspur.plans import er_queries
 
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+QUERIES = {**er_queries.QUERIES}
+ORACLES = {**er_queries.ORACLES}
+flagship = er_queries.flagship

@@ -91,17 +91,18 @@ def sample_rows(rows: DataFrame, n: int, row_id: str, seed: int = 42, mode: str
     return rows.orderBy(F.xxhash64(F.lit(seed), row_id), row_id).limit(n)
 
 
-# Weights of the file-name scores.
-TRAIN_WORDS, TEST_WORDS, VALID_WORDS = ("train",), ("test",), ("val", "valid", "dev", "eval")
+# Words in file names.
+TRAIN_WORDS = ("train", "training", "trn")
+TEST_WORDS = ("test", "testing", "tst", "sample_submission")
+VALID_WORDS = ("val", "valid", "validation", "eval")
 
 
 def file_scores(name: str, size: int, largest: int) -> dict[str, float]:
-    low, share = name.lower(), size / largest if largest else 0.0
-    train = test = sub = 0.0
-    if any(w in low for w in TRAIN_WORDS):
-        train += 1
-    if any(w in low for w in TEST_WORDS):
-        test += 1
+    """How like a train, test or submission file it is, by name and size."""
+    low, share = os.path.splitext(name)[0].lower(), size / max(largest, 1)
+    train = float(any(w in low for w in TRAIN_WORDS))
+    test = float(any(w in low for w in TEST_WORDS))
+    sub = 0.0
     if any(w in low for w in VALID_WORDS):
         train, test = train + 0.3, test + 0.3
     if "submission" in low:
