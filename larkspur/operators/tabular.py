@@ -36,10 +36,10 @@ def text_features(rows: DataFrame, columns: list[str], keep: list[str]) -> DataF
         prefix = f"txt_{name.replace(' ', '_').replace('-', '_')}"
 
         def flag(pattern: str, s: Column = s) -> Column:
-            return s.rlike(pattern).cast("int")
+            return s.rlike("(?U)" + pattern).cast("int")
 
         def count(pattern: str, s: Column = s) -> Column:
-            return F.regexp_count(s, F.lit(pattern))
+            return F.regexp_count(s, F.lit("(?U)" + pattern))
 
         features = {
             "char_count": F.length(s),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larkspur.plans import er_queries
+from larkspur.plans import er_queries, tabular_queries
 
-QUERIES = {**er_queries.QUERIES}
-ORACLES = {**er_queries.ORACLES}
+QUERIES = {**er_queries.QUERIES, **tabular_queries.QUERIES}
+ORACLES = {**er_queries.ORACLES, **tabular_queries.ORACLES}
 flagship = er_queries.flagship
