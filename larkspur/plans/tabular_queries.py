@@ -122,6 +122,9 @@ def m_error_analysis(spark, sf_dir):
 
 
 def _flag(pattern: str) -> str:
+    # RE2 knows word boundaries in ASCII only: outer ones become classes.
+    if pattern.startswith(r"\b") and pattern.endswith(r"\b"):
+        pattern = rf"(^|[^\p{{L}}\p{{N}}_]){pattern[2:-2]}([^\p{{L}}\p{{N}}_]|$)"
     return f"regexp_matches(s, {O.text(pattern)})::INT"
 
 
@@ -129,7 +132,7 @@ def _count(pattern: str) -> str:
     return f"len(regexp_extract_all(s, {O.text(pattern)}))::INT"
 
 
-# RE2 knows word boundaries in ASCII only, so units are whole words here.
+# Units are whole words here, for the same reason.
 UNIT_WORDS = ", ".join(O.text(u) for u in tabular.UNITS[tabular.UNITS.index(":") + 1 : tabular.UNITS.rindex(")")].split("|"))
 TEXT_SQL = f"""WITH x AS (
   SELECT doc_id, coalesce(text, '') AS s, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda w: w <> '') AS w,
@@ -152,13 +155,13 @@ def text_structured(spark, sf_dir):
 
 @query(
     """SELECT l_orderkey, l_linenumber, round(ln(1 + greatest(l_extendedprice, 0)), 6) AS num_log1p_l_extendedprice,
-    round(l_extendedprice / (l_quantity + 1e-8), 4) AS num_ratio_l_extendedprice_l_quantity, round(l_extendedprice * l_discount, 3) AS num_prod_l_extendedprice_l_discount FROM lineitem"""
+    round(l_extendedprice / (l_quantity + 1e-8), 4) AS num_ratio_l_extendedprice_l_quantity, round(l_extendedprice * l_discount, 6) AS num_prod_l_extendedprice_l_discount FROM lineitem"""
 )
 def numeric_features(spark, sf_dir):
     lines = data.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount")
     made = tabular.numeric_features(lines, ["l_extendedprice"], [("l_extendedprice", "l_quantity")], [("l_extendedprice", "l_discount")])
     made = made.drop("l_extendedprice", "l_quantity", "l_discount")
-    made = rounded(made, "num_prod_l_extendedprice_l_discount", digits=3)
+    made = rounded(made, "num_prod_l_extendedprice_l_discount")
     return rounded(rounded(made, "num_log1p_l_extendedprice"), "num_ratio_l_extendedprice_l_quantity", digits=4)
 
 
