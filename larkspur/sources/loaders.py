@@ -25,7 +25,7 @@ def _bytes(spark: SparkSession, path: str) -> bytes:
 def load_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     """UTF-8, or Latin-1 if any line is not valid UTF-8."""
     raw = spark.read.format("text").load(path)
-    bad = raw.filter(F.col("value").contains("�")).limit(1).collect()
+    bad = raw.filter(~F.is_valid_utf8("value")).limit(1).collect()
     options = {"header": True, "inferSchema": infer, "quote": '"', "escape": '"', "multiLine": True}
     return spark.read.csv(path, encoding="ISO-8859-1" if bad else "UTF-8", **options)
 

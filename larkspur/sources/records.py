@@ -99,7 +99,7 @@ def load_ground_truth(spark: SparkSession, path: str) -> DataFrame:
 
     left, right = column("source1_entity_id", "source1", "s1"), column("matched_entity_ids", "match")
     listed = F.when(F.lower(F.trim(right)) == "nan", F.lit("")).otherwise(F.col(right))
-    ids = F.array_distinct(F.filter(F.transform(F.split(listed, ","), F.trim), lambda x: x != ""))
+    ids = F.array_distinct(F.filter(F.transform(F.split(listed, ","), lambda x: F.trim(x)), lambda x: x != ""))
     rows = table.select(F.trim(left).alias("s1_id"), ids.alias("truth"), F.monotonically_increasing_id().alias("row"))
     return rows.groupBy("s1_id").agg(F.max_by("truth", "row").alias("truth"))
 
