@@ -74,7 +74,7 @@ def cover(vectors: np.ndarray, members: np.ndarray, radius: float, batch: int =
 def build_paths(vectors: np.ndarray) -> np.ndarray:
     """Cover tree of a block: for each row its centre's row number at every level."""
     paths = np.empty((len(vectors), len(LEVELS)), dtype=np.int64)
-    groups = [np.arange(len(vectors))]
+    groups = [np.arange(len(vectors))] if len(vectors) else []
     for level, radius in enumerate(LEVELS):
         below = []
         for members in groups:

@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 
 DIMS = 1 << 16
 SAMPLE_ROWS = 2000
+#: Characters counted at a time: working memory for very long texts.
+STEP = 1 << 22
 EPOCHS = 3
 BATCH = 16
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
@@ -68,9 +70,8 @@ def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if len(points) < 3:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     counts: np.ndarray | None = None
-    step = 1 << 22  # bounded working memory for very long texts
-    for at in range(0, len(points), step):
-        part = points[at : at + step + 2]
+    for at in range(0, len(points), STEP):
+        part = points[at : at + STEP + 2]
         hashes = []
         rolled = np.zeros(len(part), dtype=np.uint32)
         for n in range(1, 4):
@@ -78,7 +79,7 @@ def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
                 break
             rolled = rolled[: len(part) - n + 1] * np.uint32(0x01000193) + part[n - 1 :] * MULTIPLIERS[n - 1] + np.uint32(n)
             mixed = rolled * np.uint32(0xC2B2AE35)
-            hashes.append(((mixed ^ (mixed >> np.uint32(15))) & np.uint32(DIMS - 1))[:step])
+            hashes.append(((mixed ^ (mixed >> np.uint32(15))) & np.uint32(DIMS - 1))[:STEP])
         found = np.bincount(np.concatenate(hashes), minlength=DIMS)
         counts = found if counts is None else counts + found
     at = np.flatnonzero(counts)
@@ -178,7 +179,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def sample_of(rows: DataFrame, size: int) -> DataFrame:
-    """At most about size rows: the ids whose hash is no greater than the size-th least one.
+    """At most about size rows (fewer if ids repeat): ids whose hash is no greater than the size-th least one.
 
     Of rows that share an id the one of least hash is taken, so repeated ids cannot swell the sample.
     """

@@ -9,8 +9,8 @@ base spans.  The network sees the candidate and ``CONTEXT`` characters on either
 embeddings, one convolution, maximum and mean pooling, and a logistic output, in numpy.  It is
 trained on labelled findings: the values of ``assign`` and ``access`` spans in a bounded sample of
 texts are secrets, each with a copy of another keyword, quote and alphabet so that the network does
-not merely learn the patterns; other candidates, long words and numbers are none.  A held-back fifth calibrates the scores (Platt) and sets the threshold: the largest that still finds
-``RECALL`` of the held-back secrets, and never under 0.5.  Candidates that reach it and overlap no
+not merely learn the patterns; other candidates, long words and numbers are none.  A held-back fifth calibrates the scores (Platt) and sets the threshold: one that finds ``RECALL`` of the
+held-back secrets and as few others as any such threshold can, never under 0.5.  Candidates that reach it and overlap no
 base span are added as ``model`` spans.  Longer runs are cut into windows of ``WIDTH`` characters,
 and the best window decides.
 
@@ -215,9 +215,12 @@ def findings(text: str | None) -> list[tuple[int, list[int]]]:
         for _ in range(COPIES):
             letters = ALPHABETS[rng.integers(len(ALPHABETS))]
             mixed = "".join(rng.choice(list(letters), int(rng.integers(16, 44))))
-            lead = text[max(0, at - CONTEXT) : at] if rng.random() < 0.5 else text[max(0, start - CONTEXT) : start]
+            lead, tail = text[max(0, at - CONTEXT) : at], text[end : end + CONTEXT]
+            if rng.random() < 0.7:  # somewhere else in the same text
+                place = int(rng.integers(len(text)))
+                lead, tail = text[max(0, place - CONTEXT) : place].rstrip() + " ", " " + text[place : place + CONTEXT].lstrip()
             lead += str(rng.choice(VARIANTS))
-            out.append((1, window(lead + mixed + text[end : end + CONTEXT], len(lead), len(lead) + len(mixed))))
+            out.append((1, window(lead + mixed + tail, len(lead), len(lead) + len(mixed))))
     plain = [(m.start(), m.end()) for m in re.finditer(r"\S{12,}", text)]
     clear = [s for s in plain if not any(a < s[1] and s[0] < b for a, _, b in spans)]
     other = [s for s in candidates(text) if not any(a < s[1] and s[0] < b for a, _, b in spans)]
@@ -255,9 +258,17 @@ def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> SecretModel:
             net.learn(x[some], y[some], weight[some])
     logits = net.logits(x[back]).astype(np.float64)
     slope, offset = platt(logits, y[back].astype(np.int64))
-    p = np.sort(1 / (1 + np.exp(-np.clip(slope * logits[y[back] == 1] + offset, -30, 30))))
-    threshold = float(p[int((1 - RECALL) * len(p))]) if len(p) else 1.0
-    return SecretModel(net.p, slope, offset, max(0.5, threshold))
+    p = 1 / (1 + np.exp(-np.clip(slope * logits + offset, -30, 30)))
+    return SecretModel(net.p, slope, offset, threshold_of(p[y[back] == 1], p[y[back] == 0]))
+
+
+def threshold_of(positive: np.ndarray, negative: np.ndarray, recall: float = RECALL) -> float:
+    """Half way between the score that recall demands and the best negative below it; 0.5 at least."""
+    if not len(positive):
+        return 1.0
+    top = float(np.sort(positive)[int((1 - recall) * len(positive))])
+    below = negative[negative < top]
+    return max(0.5, (top + float(below.max())) / 2 if len(below) else top / 2)
 
 
 RESULT = T.StructType(

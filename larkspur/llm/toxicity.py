@@ -195,7 +195,9 @@ class Ftrl:
 
     def weights(self, at) -> np.ndarray:
         z, n = self.z[at], self.n[at]
-        return -np.sign(z) * np.maximum(np.abs(z) - L1, 0) / ((BETA + np.sqrt(n)) / ALPHA + L2)
+        out = -np.sign(z) * np.maximum(np.abs(z) - L1, 0) / ((BETA + np.sqrt(n)) / ALPHA + L2)
+        out[-1] = -z[-1] / ((BETA + np.sqrt(n[-1])) / ALPHA)  # the bias, always last, goes free of penalties
+        return out
 
     def learn(self, at: np.ndarray, label: int) -> None:
         w = self.weights(at)
