@@ -55,18 +55,24 @@ HIT = T.StructType(
 
 
 class Templates:
-    """Template tokens of texts, with a bounded cache of words."""
+    """Template tokens of texts, with a bounded table of words."""
 
     def __init__(self) -> None:
-        self._cache: dict[str, tuple[int, int, str, bool]] = {}
-        self._holders = [self._hash(f"\0{k}") for k in range(5)]
+        self._holders = np.array([self._hash(f"\0{k}") for k in range(5)], dtype=np.uint64)
+        self._clear()
+
+    def _clear(self) -> None:
+        self._places: dict[str, int] = {}
+        self._values: list[str] = []
+        self._hashes, self._kinds = np.zeros(1024, dtype=np.uint64), np.zeros(1024, dtype=np.int8)
+        self._ends, self._filled = np.zeros(1024, dtype=bool), np.zeros(1024, dtype=bool)
 
     @staticmethod
     def _hash(word: str) -> int:
         return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 7)
 
-    def _word(self, word: str) -> tuple[int, int, str, bool]:
-        """(hash of the literal, what it may be, its value, whether a sentence ends with it)."""
+    def _add(self, word: str) -> None:
+        """Hash of the literal, what it may be, its value, whether a sentence ends with it."""
         core = word.strip(EDGE)
         low = core.lower()
         kind = LITERAL
@@ -78,31 +84,37 @@ class Templates:
             kind = UNIT
         elif core[:1].isupper() and core[1:] and not core[1:].isupper():
             kind = NAME
-        return self._hash(low), kind, low, word.rstrip("\"')]}")[-1:] in ".!?:"
-
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Hashes, kinds and values of the template tokens of a text."""
-        cache, found = self._cache, []
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        for word in (text or "").split():
-            known = cache.get(word)
-            if known is None:
-                known = cache[word] = self._word(word)
-            found.append(known)
-        if not found:
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), []
-        hashes, kinds, values, ends = zip(*found, strict=True)
-        hashes, kinds = np.array(hashes, dtype=np.uint64), np.array(kinds, dtype=np.int64)
-        starts = np.concatenate(([True], np.array(ends[:-1], dtype=bool)))
-        after_number = np.concatenate(([False], kinds[:-1] == NUM))
-        kinds = np.where((kinds == NAME) & starts | (kinds == UNIT) & ~after_number, LITERAL, kinds)
-        holders = np.array(self._holders, dtype=np.uint64)
-        keep = np.array([v != "" for v in values])  # a word of punctuation only is no token
-        hashes = np.where(kinds == LITERAL, hashes, holders[kinds])
-        if keep.all():
-            return hashes, kinds, list(values)
-        return hashes[keep], kinds[keep], [v for v, k in zip(values, keep, strict=True) if k]
+        at = len(self._values)
+        if at == len(self._hashes):
+            for name in ("_hashes", "_kinds", "_ends", "_filled"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate((old, np.zeros_like(old))))
+        self._places[word] = at
+        self._values.append(low)
+        self._hashes[at], self._kinds[at], self._filled[at] = self._hash(low), kind, low != ""
+        self._ends[at] = word.rstrip("\"')]}")[-1:] in (".", "!", "?", ":")
+
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, kinds and word numbers of the template tokens of a text."""
+        words = (text or "").split()
+        if len(self._values) > CACHE_ENTRIES:
+            self._clear()
+        for word in set(words).difference(self._places):
+            self._add(word)
+        at = np.fromiter(map(self._places.__getitem__, words), dtype=np.int64, count=len(words))
+        if not len(at):
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int8), at
+        kinds, ends = self._kinds[at], self._ends[at]
+        starts, after_number = np.ones(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+        starts[1:], after_number[1:] = ends[:-1], kinds[:-1] == NUM
+        plain = (kinds == LITERAL) | (kinds == NAME) & starts | (kinds == UNIT) & ~after_number
+        kinds = np.where(plain, LITERAL, kinds)
+        hashes = np.where(plain, self._hashes[at], self._holders[kinds])
+        keep = self._filled[at]  # a word of punctuation only is no token
+        return (hashes, kinds, at) if keep.all() else (hashes[keep], kinds[keep], at[keep])
+
+    def slots(self, kinds: np.ndarray, words: np.ndarray, at: int, size: int) -> list[str | None]:
+        return [None if kinds[k] == LITERAL else f"{kinds[k]}:{self._values[words[k]]}" for k in range(at, at + size)]
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -116,10 +128,6 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def slots_of(kinds: np.ndarray, values: list[str], at: int, size: int) -> list[str | None]:
-    return [None if kinds[k] == LITERAL else f"{kinds[k]}:{values[k]}" for k in range(at, at + size)]
-
-
 def item_sizes(length: int) -> list[int]:
     return [WINDOW] if length >= WINDOW else [length] if length >= SHORTEST else []
 
@@ -127,9 +135,9 @@ def item_sizes(length: int) -> list[int]:
 def _rows(batch: pd.DataFrame, templates: Templates, pick):
     out = []
     for row in batch.itertuples(index=False):
-        hashes, kinds, values = templates.tokens(row.text)
+        hashes, kinds, words = templates.tokens(row.text)
         for at, size, window in pick(hashes, kinds):
-            out.append((row.id, getattr(row, "text_hash", 0), at, size, window, slots_of(kinds, values, at, size)))
+            out.append((row.id, getattr(row, "text_hash", 0), at, size, window, templates.slots(kinds, words, at, size)))
             if len(out) >= 20_000:
                 yield pd.DataFrame(out, columns=HIT.names)
                 out = []
