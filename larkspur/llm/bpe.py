@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 500_000
 MATRIX_BYTES = 256
 LONG_TEXT = 1_000_000
 RUN_MATCHES = 100_000
