@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm.components import connected_components
+from larkspur.llm.sampling import sample_of
 from larkspur.llm.storage import materialize, scratch
 
 MIN_COSINE = 0.95
 LEVELS = (1.0, 0.5, 0.25, 0.125)
-#: Rows of a block at most about; pivots at least and at most (both are collected, so bounded).
+#: Rows of a block at most about; pivots about so many at least and at most (they are collected).
 BLOCK_ROWS, MIN_PIVOTS, MAX_PIVOTS = 8192, 16, 256
 DENSE = 1 << 18
 #: Nodes of at most so many members are opened rather than kept wide.
@@ -264,7 +265,8 @@ def links_of_classes(classes: DataFrame, min_cosine: float = MIN_COSINE) -> Data
     limit = float(np.sqrt(2 - 2 * min_cosine))
     total = classes.count()
     wanted = min(MAX_PIVOTS, max(MIN_PIVOTS, -(-total // BLOCK_ROWS)))
-    pivots = classes.select("vector", F.xxhash64("class").alias("o")).orderBy("o", "vector").limit(wanted).collect()
+    pivots = sample_of(classes.select(F.col("class").alias("id"), "vector"), wanted).collect()
+    pivots = sorted(pivots, key=lambda p: p["id"]) or classes.limit(1).collect()
     if not pivots:
         return spark.createDataFrame([], "a long, b long, n long")
     shared = spark.sparkContext.broadcast(unit_rows([bytes(p.vector) for p in pivots]))

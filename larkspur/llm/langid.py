@@ -5,7 +5,7 @@ runs of characters that are not letters become one space), weight (1 + ln tf) *
 unit length.  idf = ln((1 + N) / (1 + df)) + 1, with df counted over *all* training documents.
 
 Fit: follow-the-regularised-leader with per-coordinate rates and elastic-net penalties, for
-``EPOCHS`` passes over at most ``SAMPLE_ROWS`` training rows (those of least hash; a documented
+``EPOCHS`` passes over about ``SAMPLE_ROWS`` training rows (drawn by hash of the id; a documented
 bound; their texts are read whole, their features counted on the executors).  One fifth of them is
 kept back to calibrate: a single temperature divides the logits so that their log loss is least.
 
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larkspur.llm.sampling import sample_of
+
 DIMS = 1 << 16
 SAMPLE_ROWS = 2000
 #: Characters counted at a time: working memory for very long texts.
@@ -178,18 +180,6 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return total, df
 
 
-def sample_of(rows: DataFrame, size: int) -> DataFrame:
-    """At most about size rows (fewer if ids repeat): ids whose hash is no greater than the size-th least one.
-
-    Of rows that share an id the one of least hash is taken, so repeated ids cannot swell the sample.
-    """
-    rest = [c for c in rows.columns if c != "id"]
-    order = F.xxhash64(F.lit(17), F.col("id").cast("string"))
-    last = rows.select(order.alias("o")).orderBy("o").limit(size).agg(F.max("o")).first()[0]
-    picked = rows.filter(order <= F.lit(last)).groupBy("id")
-    return picked.agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("r")).select("id", "r.*")
-
-
 COUNTED = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("at", "counts")])
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.llm.langid import sample_of
+from larkspur.llm.sampling import sample_of
 from larkspur.llm.toxicity import platt
 
 # The base patterns.
@@ -46,7 +46,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 
 WIDTH, CONTEXT = 64, 24
 EMBED, FILTERS, KERNEL = 16, 32, 5
-#: At most about so many texts are read (whole) for training, those of least id hash.
+#: About so many texts are read (whole) for training, drawn by hash of the id.
 SAMPLE_TEXTS = 12_000
 #: At most so many labelled findings of a class are kept of each sampled text; of texts without a
 #: secret, only one in PLAIN_SHARE teaches what is none.

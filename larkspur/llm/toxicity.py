@@ -8,7 +8,7 @@ characters finds the reading of least cost under a character trigram model, whos
 
 Score: logistic regression (FTRL with elastic net) over the set of restored words and their
 prefixes of 3 to 7 characters, hashed, then Platt calibration on a fifth of the sample.  The fit
-uses at most ``SAMPLE_ROWS`` labelled rows, those of least id hash (a documented bound); they are
+uses about ``SAMPLE_ROWS`` labelled rows, drawn by hash of the id (a documented bound); they are
 read whole and their features are made on the executors.
 
 Null or empty text has no features: its score is the calibrated bias.  Labels that are null or of
@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.llm.langid import held_out, sample_of
+from larkspur.llm.langid import held_out
+from larkspur.llm.sampling import sample_of
 
 DIMS = 1 << 20
 SAMPLE_ROWS = 5000
@@ -250,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     counts = corpus_counts(docs)
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumnRenamed("doc_id", "id")
-    chosen = F.broadcast(sample_of(known, sample_rows))  # at most 2 * sample_rows pairs
+    chosen = F.broadcast(sample_of(known, sample_rows))  # about sample_rows pairs
     shared = spark.sparkContext.broadcast(counts)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -30,11 +30,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.llm.sampling import sample_of
 from larkspur.llm.storage import materialize, scratch
 
 ARCHIVE_BYTES = 32 << 20
 DICTIONARY_BYTES = 64 << 10
-#: The dictionary is trained on so many payloads of least id hash, so many characters of each.
+#: The dictionary is trained on about so many payloads, drawn by hash of the id, so many characters of each.
 DICTIONARY_ROWS, DICTIONARY_CHARS = 256, 8192
 LEVEL = 3
 # Fixed values of the formats.
@@ -183,13 +184,9 @@ def write_archives(
         "payload",
         F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).cast("string").alias("refers_to"),
     )
-    picked = (
-        pages.select(F.xxhash64(F.col(id_col)).alias("o"), F.substring(F.col(payload_col), 1, DICTIONARY_CHARS).alias("p"))
-        .orderBy("o", "p")
-        .limit(DICTIONARY_ROWS)
-        .collect()
-    )
-    dictionary = train_dictionary([(r.p or "").encode() for r in picked])
+    texts = pages.select(F.col(id_col).alias("id"), F.substring(F.col(payload_col), 1, DICTIONARY_CHARS).alias("p"))
+    picked = sample_of(texts, DICTIONARY_ROWS).collect()
+    dictionary = train_dictionary(sorted((r.p or "").encode() for r in picked))
 
     def write(batches):
         made = zstandard.ZstdCompressionDict(dictionary) if dictionary else None

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.llm import langid
+from larkspur.llm.sampling import sample_of
 from tests.conftest import SMALL
 
 
@@ -73,7 +74,8 @@ def test_odd_rows(spark, odd_docs, no_docs, empty):
 
 
 def test_sample_is_bounded_and_whole(spark):
-    rows = spark.createDataFrame([(k % 50, "t", f"x{k}") for k in range(500)] + [(None, "n", "y"), (None, "n", "z")], "id long, lang string, text string")
-    picked = langid.sample_of(rows, 20).collect()
-    assert 1 <= len(picked) <= 21 and len({r.id for r in picked}) == len(picked)
-    assert langid.sample_of(rows.limit(0), 20).count() == 0
+    rows = spark.createDataFrame([(k % 400, "t", f"x{k}") for k in range(4000)] + [(None, "n", "y"), (None, "n", "z")], "id long, lang string, text string")
+    picked = sample_of(rows, 1000).collect()
+    assert 60 <= len(picked) <= 140 and len({r.id for r in picked}) == len(picked)
+    assert len(sample_of(rows, 5000).collect()) == 401
+    assert sample_of(rows.limit(0), 20).count() == 0
