@@ -197,26 +197,40 @@ def production_f05(truth: DataFrame, predicted: DataFrame) -> DataFrame:
     )
 
 
+def sorted_candidates(scored: DataFrame, truth: DataFrame, id_col: str = "candidate_id", *more: str) -> DataFrame:
+    """(s1_id, t, ranked): each true record with its number of matches and its candidates, best first.
+
+    One shuffle by record; any number of decision rules can then be tried on the array in place.
+    """
+    true = truth.select("s1_id", F.explode("truth").alias(id_col), F.lit(1).alias("hit"))
+    labelled = scored.join(true, ["s1_id", id_col], "left")
+    entry = F.struct((-F.col("score")).alias("order"), F.col(id_col).alias("id"), "score", F.coalesce("hit", F.lit(0)).alias("hit"), *more)
+    lists = labelled.groupBy("s1_id").agg(F.sort_array(F.collect_list(entry)).alias("ranked"))
+    return truth.select("s1_id", F.size("truth").alias("t")).join(lists, "s1_id", "left")
+
+
+def f05_of(t: Column, p: Column, tp: Column) -> Column:
+    return F.when((t == 0) & (p == 0), 1.0).otherwise(1.25 * tp / (0.25 * t + p))
+
+
 def threshold_grid(scored: DataFrame, truth: DataFrame, low: float = 0.10, high: float = 0.95, step: float = 0.01) -> DataFrame:
     """(threshold, macro_f05) for every threshold of the grid, in one job.
 
     A pair counts at a threshold t if its score is t or more and, unless it is the best of its
-    record, also 0.5 or more: so each pair covers a run of grid points, and each record's score is
-    piecewise constant in t.  The grid is a broadcast table of fixed size.
+    record, also 0.5 or more.  The grid is a broadcast table of fixed size; every record tries all
+    thresholds on its own sorted candidates, so nothing is shuffled once for each threshold.
     """
-    spark = scored.sparkSession
     n = round((high - low) / step) + 1
-    grid = F.broadcast(spark.range(n).select((F.round(F.lit(low) + F.col("id") * step, 4)).alias("threshold")))
-    ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("s1_id").orderBy(F.desc("score"), "candidate_id")))
-    true = truth.select("s1_id", F.explode("truth").alias("candidate_id"), F.lit(1).alias("hit"))
-    labelled = ranked.join(true, ["s1_id", "candidate_id"], "left")
-    bar = F.when(F.col("rank") == 1, F.col("threshold")).otherwise(F.greatest("threshold", F.lit(0.5)))
-    kept = labelled.join(grid, F.lit(True)).filter(F.col("score") >= bar)
-    per = kept.groupBy("threshold", "s1_id").agg(F.count("*").alias("p"), F.count("hit").alias("tp"))
-    sized = truth.select("s1_id", F.size("truth").alias("t"))
-    full = sized.join(grid, F.lit(True)).join(per, ["threshold", "s1_id"], "left").na.fill(0, ["p", "tp"])
-    score = F.when((F.col("t") == 0) & (F.col("p") == 0), 1.0).otherwise(1.25 * F.col("tp") / (0.25 * F.col("t") + F.col("p")))
-    return full.groupBy("threshold").agg(F.avg(score).alias("macro_f05"))
+    grid = F.broadcast(scored.sparkSession.range(n).select((F.round(F.lit(low) + F.col("id") * step, 4)).alias("threshold")))
+    records = sorted_candidates(scored.filter(F.col("score") >= low), truth).join(grid, F.lit(True))
+    later = F.greatest("threshold", F.lit(0.5))
+    kept = F.filter("ranked", lambda x, k: x["score"] >= F.when(k == 0, F.col("threshold")).otherwise(later))
+    counted = records.withColumn("kept", kept).select(
+        "threshold", "t", F.coalesce(F.size("kept"), F.lit(0)).alias("p"),
+        F.coalesce(F.aggregate("kept", F.lit(0), lambda total, x: total + x["hit"]), F.lit(0)).alias("tp"),
+    )
+    p = F.greatest("p", F.lit(0))  # the size of a missing array is null or -1, by setting
+    return counted.groupBy("threshold").agg(F.avg(f05_of(F.col("t"), p, F.col("tp"))).alias("macro_f05"))
 
 
 def optimize_threshold(scored: DataFrame, truth: DataFrame) -> tuple[float, float]:
