@@ -70,14 +70,20 @@ def name_country(ref: DataFrame, tgt: DataFrame) -> DataFrame:
     return equal_key(ref, tgt, "name_country", key, key)
 
 
+def _counted(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, token, name): each distinct token of a row's array with its occurrences; a narrow operation."""
+    each = rows.select(*keys, "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
+    return each.select(*keys, "token", F.size(F.filter("tokens", lambda t: t == F.col("token"))).alias(name))
+
+
 def _shared_tokens(ref: DataFrame, tgt: DataFrame, column: str, stopwords: tuple[str, ...], min_shared: int, name: str) -> DataFrame:
     """Shared token occurrences (bags: repeats multiply), over the reference's meaningful ones."""
     useful = F.filter(column, lambda t: (F.length(t) > 1) & ~t.isin(*stopwords))
+    # Occurrences are counted within the record, so each token of it is moved once and nothing is grouped before the join.
     a = ref.select(F.col("entity_id").alias("s1_id"), useful.alias("tokens")).withColumn("total", F.size("tokens"))
-    # Occurrences are counted per record before the join, so that it moves each token once.
-    a = a.select("s1_id", "total", F.explode("tokens").alias("token")).groupBy("s1_id", "total", "token").agg(F.count("*").alias("n"))
-    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), F.explode(column).alias("token"))
-    b = b.groupBy("candidate_id", "candidate_source", "token").agg(F.count("*").alias("m"))
+    a = _counted(a, ["s1_id", "total"], "n")
+    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), F.col(column).alias("tokens"))
+    b = _counted(b, ["candidate_id", "candidate_source"], "m")
     pairs = a.join(b, "token").groupBy(*PAIR, "total").agg(F.sum(F.col("n") * F.col("m")).alias("shared"))
     return _result(pairs.filter(F.col("shared") >= min_shared), name, F.col("shared") / F.greatest(F.col("total"), F.lit(1)))
 
@@ -92,12 +98,14 @@ def address_token(ref: DataFrame, tgt: DataFrame, min_shared: int = 2) -> DataFr
 
 def rare_token(ref: DataFrame, tgt: DataFrame, max_df: int = 10) -> DataFrame:
     """Tokens with at most max_df occurrences in the target source; the last shared one sets the score."""
-    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), F.explode("name_tokens").alias("token"))
-    b = b.filter(F.length("token") > 2)
-    df = b.groupBy("candidate_source", "token").agg(F.count("*").alias("df")).filter(F.col("df") <= max_df)
-    b = b.distinct().join(df, ["candidate_source", "token"])
-    a = ref.select(F.col("entity_id").alias("s1_id"), F.posexplode("name_tokens").alias("pos", "token"))
-    a = a.groupBy("s1_id", "token").agg(F.max("pos").alias("pos"))
+    long = F.filter("name_tokens", lambda t: F.length(t) > 2)
+    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), long.alias("tokens"))
+    df = b.select("candidate_source", F.explode("tokens").alias("token"))
+    df = df.groupBy("candidate_source", "token").agg(F.count("*").alias("df")).filter(F.col("df") <= max_df)
+    b = b.select("candidate_id", "candidate_source", F.explode(F.array_distinct("tokens")).alias("token")).join(df, ["candidate_source", "token"])
+    a = ref.select(F.col("entity_id").alias("s1_id"), "name_tokens", F.explode(F.array_distinct("name_tokens")).alias("token"))
+    last = F.size("name_tokens") - F.array_position(F.reverse("name_tokens"), F.col("token"))
+    a = a.select("s1_id", "token", last.alias("pos"))
     pairs = a.join(b, "token").groupBy(*PAIR).agg(F.max_by(1 / F.col("df"), "pos").alias("score"))
     return _result(pairs, "rare_token", F.col("score"))
 

@@ -2,12 +2,16 @@
 
 source = 1 + doc_id % 3; the name is the first four words of the text, the address the next eight,
 the country the language; two records match if their whole texts are equal.
+
+Records are normalised once and kept (memory, then disk): the blockers, both record joins and the
+evaluation of one query read the short columns again, not the texts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from larkspur.sources.records import normalised, production_records
 
@@ -29,7 +33,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalised(raw_records(spark, sf_dir))
+    return normalised(raw_records(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -38,7 +42,7 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def production_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rec = production_records(raw_records(spark, sf_dir))
+    rec = production_records(raw_records(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     return rec.filter("source = 1"), rec.filter("source > 1")
 
 
