@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larkspur.functions import similarity as S
+from larkspur.operators.tabular import draw
 
 # Provenance flags and the blockers that they stand for.
 PROVENANCE = {
@@ -310,10 +311,6 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     return pairs.join(true, ["s1_id", "candidate_id"], "left").na.fill(0, ["label"])
 
 
-def _drawn(*parts) -> Column:
-    return F.xxhash64(*[F.lit(p) if isinstance(p, int) else p for p in parts])
-
-
 def hard_negatives(featured: DataFrame, truth: DataFrame, seed: int = 42) -> DataFrame:
     """Training pairs: all positives; of the negatives the 2n nearest by name and random others, 3n in all.
 
@@ -323,8 +320,8 @@ def hard_negatives(featured: DataFrame, truth: DataFrame, seed: int = 42) -> Dat
     limit = F.greatest(F.col("n_true") * 3, F.lit(1))
     near = F.row_number().over(W.partitionBy("s1_id", "label").orderBy(F.desc("name_edit_sim"), "candidate_id"))
     ranked = labelled.withColumn("near", near).withColumn("hard", F.col("near") <= F.col("n_true") * 2)
-    draw = F.row_number().over(W.partitionBy("s1_id", "label", "hard").orderBy(_drawn(seed, "s1_id", "candidate_id")))
-    ranked = ranked.withColumn("draw", draw)
+    place = F.row_number().over(W.partitionBy("s1_id", "label", "hard").orderBy(draw(seed, "s1_id", "candidate_id")))
+    ranked = ranked.withColumn("draw", place)
     rest = limit - F.least(F.col("n_true") * 2, limit)
     keep = (F.col("label") == 1) | F.col("hard") & (F.col("near") <= limit) | ~F.col("hard") & (F.col("draw") <= rest)
     return ranked.filter(keep).drop("near", "hard", "draw", "n_true")

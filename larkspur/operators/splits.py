@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.operators.tabular import ranked_rows
+from larkspur.operators.tabular import draw, ranked_rows
 
 KINDS = ("kfold", "stratified", "group", "stratified_group", "timeseries", "holdout")
 
 
-def _order(row_id: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), row_id)
-
-
 def kfold(rows: DataFrame, row_id: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """Folds of sizes that differ by one at most: the place in hash order modulo folds."""
-    placed = ranked_rows(rows.withColumn("__h", _order(row_id, seed)), F.col("__h"), F.col(row_id))
+    placed = ranked_rows(rows.withColumn("__h", draw(seed, row_id)), F.col("__h"), F.col(row_id))
     return placed.withColumn("fold", (F.col("place") % folds).cast("int")).drop("__h", "place")
 
 
@@ -33,7 +29,7 @@ def stratum(rows: DataFrame, target: str, bins: int = 10) -> DataFrame:
 
 def stratified(rows: DataFrame, row_id: str, target: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """Each stratum is dealt evenly: sort by stratum and hash, then deal places in turn."""
-    named = stratum(rows, target).withColumn("__h", _order(row_id, seed))
+    named = stratum(rows, target).withColumn("__h", draw(seed, row_id))
     placed = ranked_rows(named, F.col("stratum"), F.col("__h"), F.col(row_id))
     return placed.withColumn("fold", (F.col("place") % folds).cast("int")).drop("__h", "place", "stratum")
 
@@ -43,7 +39,7 @@ def group(rows: DataFrame, group_col: str | None, folds: int = 5, seed: int = 42
     if not group_col:
         raise ValueError("a group split needs a group column")
     sizes = rows.groupBy(group_col).agg(F.count("*").alias("__n"))
-    placed = ranked_rows(sizes, F.desc("__n"), F.xxhash64(F.lit(seed), group_col), F.col(group_col))
+    placed = ranked_rows(sizes, F.desc("__n"), draw(seed, group_col), F.col(group_col))
     turn = F.col("place") % (2 * folds)
     table = placed.select(F.col(group_col).alias("__g"), F.least(turn, 2 * folds - 1 - turn).cast("int").alias("fold"))
     return rows.join(table, F.col(group_col).eqNullSafe(F.col("__g"))).drop("__g")
@@ -53,7 +49,7 @@ def stratified_group(rows: DataFrame, group_col: str, target: str, folds: int =
     """Whole groups, dealt by their commonest stratum."""
     named = stratum(rows, target)
     per = named.groupBy(group_col).agg(F.mode("stratum", True).alias("__s"), F.count("*").alias("__n"))
-    placed = ranked_rows(per, F.col("__s"), F.desc("__n"), F.xxhash64(F.lit(seed), group_col), F.col(group_col))
+    placed = ranked_rows(per, F.col("__s"), F.desc("__n"), draw(seed, group_col), F.col(group_col))
     table = placed.select(F.col(group_col).alias("__g"), (F.col("place") % folds).cast("int").alias("fold"))
     return rows.join(table, F.col(group_col).eqNullSafe(F.col("__g"))).drop("__g")
 
@@ -72,7 +68,7 @@ def holdout(rows: DataFrame, row_id: str, fraction: float = 0.2, seed: int = 42,
     """fold 1 holds max(1, int(n * fraction)) rows, or groups if a group column is given."""
     key = group_col or row_id
     units = rows.select(key).distinct() if group_col else rows.select(key)
-    placed = ranked_rows(units.withColumn("__h", _order(key, seed)), F.col("__h"), F.col(key))
+    placed = ranked_rows(units.withColumn("__h", draw(seed, key)), F.col("__h"), F.col(key))
     total = placed.agg(F.greatest(F.lit(1), F.floor(F.count("*") * fraction)).alias("__k"))
     table = placed.join(F.broadcast(total), F.lit(True)).select(F.col(key).alias("__u"), (F.col("place") < F.col("__k")).cast("int").alias("fold"))
     return rows.join(table, F.col(key).eqNullSafe(F.col("__u"))).drop("__u")

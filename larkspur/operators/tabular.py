@@ -212,6 +212,11 @@ def downcast(rows: DataFrame) -> DataFrame:
     return rows.withColumns(out) if out else rows
 
 
+def draw(seed: int, *keys: str | Column) -> Column:
+    """A pseudo-random order of rows by their keys: the same in any engine, for any partitioning."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]))
+
+
 def ranked_rows(rows: DataFrame, *order: Column) -> DataFrame:
     """rows plus a dense 0-based place in the given order, by ranges: no task holds all rows."""
     spread = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())

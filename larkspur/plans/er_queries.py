@@ -472,7 +472,16 @@ def missed_pairs(spark, sf_dir):
     return P.missed_pairs(data.truth(spark, sf_dir), candidates(spark, sf_dir))
 
 
-@query()
+@query(
+    f"""WITH {FEATURES}, sized AS (SELECT e.entity_id AS s1_id, count(candidate_id) AS n FROM s1 e LEFT JOIN truth ON truth.s1_id = e.entity_id GROUP BY ALL),
+    l AS (SELECT f.s1_id, f.candidate_id, round(name_edit_sim, 6) AS name_edit_sim, name_edit_sim AS exact_sim, (truth.s1_id IS NOT NULL)::INT AS label, n
+          FROM features f JOIN sized USING (s1_id) LEFT JOIN truth USING (s1_id, candidate_id)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, label ORDER BY exact_sim DESC, candidate_id) AS near FROM l),
+    h AS (SELECT *, near <= n * 2 AS hard FROM r),
+    d AS (SELECT *, row_number() OVER (PARTITION BY s1_id, label, hard ORDER BY md5('42|' || s1_id || '|' || candidate_id)) AS place FROM h)
+    SELECT s1_id, candidate_id, label, name_edit_sim FROM d
+    WHERE label = 1 OR (hard AND near <= greatest(n * 3, 1)) OR (NOT hard AND place <= greatest(n * 3, 1) - least(n * 2, greatest(n * 3, 1)))"""
+)
 def hard_negatives(spark, sf_dir):
     made = P.hard_negatives(features(spark, sf_dir), data.truth(spark, sf_dir))
     return made.select("s1_id", "candidate_id", "label", F.round("name_edit_sim", 6).alias("name_edit_sim"))

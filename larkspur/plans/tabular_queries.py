@@ -352,16 +352,43 @@ def split_timeseries(spark, sf_dir):
     return splits.timeseries(orders, "o_orderdate", "o_orderkey").select("o_orderkey", "fold")
 
 
-@query()
+@query("SELECT o_orderkey, ((row_number() OVER (ORDER BY md5('42|' || o_orderkey), o_orderkey) - 1) % 5)::INT AS fold FROM orders")
 def split_hash_kfold(spark, sf_dir):
-    return splits.kfold(data.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return splits.kfold(data.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", "fold")
 
 
-@query()
+@query(
+    """WITH g AS (SELECT o_custkey, (row_number() OVER (ORDER BY count(*) DESC, md5('42|' || o_custkey), o_custkey) - 1) % 10 AS turn FROM orders GROUP BY o_custkey)
+    SELECT o_orderkey, o_custkey, least(turn, 9 - turn)::INT AS fold FROM orders JOIN g USING (o_custkey)"""
+)
 def split_group(spark, sf_dir):
     return splits.group(data.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
 
 
+@query(
+    """WITH r AS (SELECT o_orderkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderstatus, md5('42|' || o_orderkey), o_orderkey) - 1) % 5 AS fold FROM orders)
+    SELECT o_orderkey, fold::INT AS fold FROM r"""
+)
+def split_stratified(spark, sf_dir):
+    orders = data.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return splits.stratified(orders, "o_orderkey", "o_orderstatus").select("o_orderkey", "fold")
+
+
+@query(
+    """WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42|' || o_orderkey), o_orderkey) AS place, floor(count(*) OVER () * 0.2) AS k FROM orders)
+    SELECT o_orderkey, (place <= greatest(k, 1))::INT AS fold FROM r"""
+)
+def split_holdout(spark, sf_dir):
+    return splits.holdout(data.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", "fold")
+
+
+@query("SELECT p_partkey, p_name FROM part ORDER BY md5('42|' || p_partkey), p_partkey LIMIT 100")
+def debug_sample(spark, sf_dir):
+    from larkspur.sources.loaders import sample_rows
+
+    return sample_rows(data.table(spark, sf_dir, "part").select("p_partkey", "p_name"), 100, "p_partkey")
+
+
 @query(
     """WITH e AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
     SELECT o_orderkey, least(greatest(ceil((o_totalprice - lo) / ((hi - lo) / 10)) - 1, 0), 9)::INT::VARCHAR AS stratum FROM orders, e"""

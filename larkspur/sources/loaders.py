@@ -14,6 +14,8 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.operators.tabular import draw
+
 KINDS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".zip": "zip"}
 
 
@@ -88,7 +90,7 @@ def sample_rows(rows: DataFrame, n: int, row_id: str, seed: int = 42, mode: str
     """n rows by hash order; all of them if mode is final."""
     if mode == "final":
         return rows
-    return rows.orderBy(F.xxhash64(F.lit(seed), row_id), row_id).limit(n)
+    return rows.orderBy(draw(seed, row_id), row_id).limit(n)
 
 
 # Words in file names.
