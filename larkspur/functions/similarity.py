@@ -96,13 +96,19 @@ def weighted_token_jaccard(a: Column, b: Column, weights: Column | None = None)
     )
 
 
-def char_ngram_similarity(a: Column, b: Column, n: int) -> Column:
-    """Jaccard of n-gram sets; two non-empty strings without any n-gram count as alike."""
-    ga, gb = grams(a, n), grams(b, n)
-    inner = _guarded(F.size(ga) == 0, F.size(gb) == 0, _common(ga, gb) / F.size(F.array_union(ga, gb)))
+def gram_similarity(a: Column, b: Column, grams_a: Column, grams_b: Column) -> Column:
+    """Jaccard of n-gram sets; two non-empty strings without any n-gram count as alike.
+
+    The grams are arguments so that a plan can make them in a projection of their own, once.
+    """
+    inner = _guarded(F.size(grams_a) == 0, F.size(grams_b) == 0, _common(grams_a, grams_b) / F.size(F.array_union(grams_a, grams_b)))
     return _guarded(a == "", b == "", inner)
 
 
+def char_ngram_similarity(a: Column, b: Column, n: int) -> Column:
+    return gram_similarity(a, b, grams(a, n), grams(b, n))
+
+
 numeric_token_overlap = token_jaccard
 numeric_containment = token_containment
 

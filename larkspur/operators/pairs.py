@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larkspur.functions import similarity as S
+from larkspur.functions.normalize import grams
 from larkspur.operators.tabular import draw
 
 # Provenance flags and the blockers that they stand for.
@@ -49,6 +50,8 @@ def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """
     known = "blockers" in pairs.columns
     joined = _lookup(_lookup(pairs, records, "s1_id", "a_"), records, "candidate_id", "b_")
+    sized = [(side, field, n) for side in "ab" for field, n in (("name_norm", 3), ("name_norm", 4), ("address_norm", 3))]
+    joined = joined.withColumns({f"{side}_{field}_{n}": grams(F.col(f"{side}_{field}"), n) for side, field, n in sized})
 
     def both(field: str) -> tuple[Column, Column]:
         return F.col(f"a_{field}"), F.col(f"b_{field}")
@@ -65,8 +68,8 @@ def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
         "name_token_overlap": S.token_overlap(*tokens),
         "name_token_dice": S.token_dice(*tokens),
         "name_token_containment": S.token_containment(*tokens),
-        "name_char3_sim": S.char_ngram_similarity(*name, 3),
-        "name_char4_sim": S.char_ngram_similarity(*name, 4),
+        "name_char3_sim": S.gram_similarity(*name, *both("name_norm_3")),
+        "name_char4_sim": S.gram_similarity(*name, *both("name_norm_4")),
         "name_prefix_match": S.prefix_match(*name),
         "name_containment": S.containment_match(*name),
         "name_length_ratio": S.length_ratio(*name),
@@ -78,7 +81,7 @@ def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
         "addr_token_jaccard": S.token_jaccard(*places),
         "addr_token_overlap": S.token_overlap(*places),
         "addr_token_containment": S.token_containment(*places),
-        "addr_char3_sim": S.char_ngram_similarity(*address, 3),
+        "addr_char3_sim": S.gram_similarity(*address, *both("address_norm_3")),
         "addr_numeric_overlap": S.numeric_token_overlap(*numbers),
         "addr_numeric_containment": S.numeric_containment(*numbers),
         "addr_postal_match": _flag((post[0] != "") & (post[0] == post[1])),
@@ -218,20 +221,17 @@ def threshold_grid(scored: DataFrame, truth: DataFrame, low: float = 0.10, high:
     """(threshold, macro_f05) for every threshold of the grid, in one job.
 
     A pair counts at a threshold t if its score is t or more and, unless it is the best of its
-    record, also 0.5 or more.  The grid is a broadcast table of fixed size; every record tries all
-    thresholds on its own sorted candidates, so nothing is shuffled once for each threshold.
+    record, also 0.5 or more.  The grid is a broadcast table of fixed size; pairs are counted by
+    record and threshold before they are shuffled.
     """
     n = round((high - low) / step) + 1
     grid = F.broadcast(scored.sparkSession.range(n).select((F.round(F.lit(low) + F.col("id") * step, 4)).alias("threshold")))
-    records = sorted_candidates(scored.filter(F.col("score") >= low), truth).join(grid, F.lit(True))
-    later = F.greatest("threshold", F.lit(0.5))
-    kept = F.filter("ranked", lambda x, k: x["score"] >= F.when(k == 0, F.col("threshold")).otherwise(later))
-    counted = records.withColumn("kept", kept).select(
-        "threshold", "t", F.coalesce(F.size("kept"), F.lit(0)).alias("p"),
-        F.coalesce(F.aggregate("kept", F.lit(0), lambda total, x: total + x["hit"]), F.lit(0)).alias("tp"),
-    )
-    p = F.greatest("p", F.lit(0))  # the size of a missing array is null or -1, by setting
-    return counted.groupBy("threshold").agg(F.avg(f05_of(F.col("t"), p, F.col("tp"))).alias("macro_f05"))
+    ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("s1_id").orderBy(F.desc("score"), "candidate_id")))
+    true = truth.select("s1_id", F.explode("truth").alias("candidate_id"), F.lit(1).alias("hit"))
+    able = ranked.filter((F.col("rank") == 1) | (F.col("score") >= 0.5)).join(true, ["s1_id", "candidate_id"], "left")
+    per = able.join(grid, F.col("score") >= F.col("threshold")).groupBy("threshold", "s1_id").agg(F.count("*").alias("p"), F.count("hit").alias("tp"))
+    full = truth.select("s1_id", F.size("truth").alias("t")).join(grid, F.lit(True)).join(per, ["threshold", "s1_id"], "left").na.fill(0, ["p", "tp"])
+    return full.groupBy("threshold").agg(F.avg(f05_of(F.col("t"), F.col("p"), F.col("tp"))).alias("macro_f05"))
 
 
 def optimize_threshold(scored: DataFrame, truth: DataFrame) -> tuple[float, float]:
