@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larkspur.llm import jaccard
 from larkspur.llm.components import connected_components
 from larkspur.llm.storage import materialize, scratch
 
@@ -186,10 +187,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline form: of each component the document with the smallest id stays.
+    """Pipeline form: of each component of texts that share 0.8 of their 5-word shingles the document with the smallest id stays.
 
-    Rows with a null id stay.  Rows that share the smallest id all stay.
+    Links are those of ``jaccard``, not the two bits of the query.  Rows with a null id stay.  Rows that share the smallest id
+    all stay.
     """
-    found = near_duplicates(docs)
+    found = jaccard.near_duplicates(docs)
     gone = found.filter(F.col("id") > F.col("component")).select(F.col("id").alias("__nd_id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__nd_id"), "left_anti")
