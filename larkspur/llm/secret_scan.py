@@ -10,7 +10,7 @@ embeddings, one convolution, maximum and mean pooling, and a logistic output, in
 trained on labelled findings: the values of ``assign`` and ``access`` spans in a bounded sample of
 texts are secrets, each with a copy of another keyword, quote and alphabet so that the network does
 not merely learn the patterns; other candidates, long words and numbers are none.  A held-back fifth calibrates the scores (Platt) and sets the threshold: one that finds ``RECALL`` of the
-held-back secrets and as few others as any such threshold can, never under 0.5.  Candidates that reach it and overlap no
+held-back secrets and as few others as any such threshold can.  Candidates that reach it and overlap no
 base span are added as ``model`` spans.  Longer runs are cut into windows of ``WIDTH`` characters,
 and the best window decides.
 
@@ -263,12 +263,12 @@ def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> SecretModel:
 
 
 def threshold_of(positive: np.ndarray, negative: np.ndarray, recall: float = RECALL) -> float:
-    """Half way between the score that recall demands and the best negative below it; 0.5 at least."""
+    """Half way between the score that recall demands and the best negative below it."""
     if not len(positive):
         return 1.0
     top = float(np.sort(positive)[int((1 - recall) * len(positive))])
     below = negative[negative < top]
-    return max(0.5, (top + float(below.max())) / 2 if len(below) else top / 2)
+    return (top + float(below.max())) / 2 if len(below) else top / 2
 
 
 RESULT = T.StructType(

@@ -106,3 +106,9 @@ def test_threshold():
     assert 0.5 <= S.threshold_of(up, down) <= 0.6 and S.threshold_of(up[:0], down) == 1.0
     t = S.threshold_of(np.linspace(0.7, 1, 100), np.array([0.1, 0.9]))
     assert t <= np.sort(np.linspace(0.7, 1, 100))[2]
+
+
+def test_threshold_keeps_recall_of_low_scores():
+    positive, negative = np.linspace(0.1, 0.4, 100), np.linspace(0.0, 0.09, 1000)
+    threshold = S.threshold_of(positive, negative)
+    assert 0.09 < threshold < 0.5 and (positive >= threshold).mean() >= S.RECALL
