@@ -4,10 +4,12 @@ A text is cut by the tokenizer's pattern; each match is encoded separately by th
 special tokens.  Matches not seen before are put into buckets by byte length, one padded matrix
 each.  Every round, every row merges its leftmost pair of least rank: ranks come from an
 open-addressing hash table of id pairs, the merged row is compacted by one cell, and rows without
-a further merge leave the matrix.  Matches over ``MATRIX_BYTES`` are merged one by one with a heap,
-in the same order of merges, so that one endless match costs n log n rather than n squared.
+a further merge leave the matrix.  A match over ``MATRIX_BYTES`` is a row of its own, whose rounds
+take every occurrence of the least rank at once, from the left: with ranks above those of their
+parts, as merges are learnt, that is the same order, and one endless match costs n log n.  Where a
+rank file breaks that rule, such a row too takes one merge a round.
 
-Ids of matches are cached per worker, up to ``CACHE_ENTRIES`` (then the cache starts afresh).
+Matches are cached per worker, up to ``CACHE_ENTRIES`` (then the cache starts afresh).
 Very long texts are read in runs of matches, so memory follows the run and not the text.
 Null text counts as empty: no tokens, and the digests of nothing.  Rows repeat as they are.
 """
@@ -18,7 +20,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_ENTRIES = 500_000
+from larkspur.llm.worker import held
+
+CACHE_ENTRIES = 400_000
 MATRIX_BYTES = 256
 LONG_TEXT = 1_000_000
 RUN_MATCHES = 100_000
@@ -92,8 +96,10 @@ class ByteBpe:
                 if a is not None and b is not None:
                     pairs.append(a << 32 | b)
                     ranks.append(rank)
-        self.pairs = PairTable(np.array(pairs, dtype=np.int64), np.array(ranks, dtype=np.int64))
-        self._cache: dict[str, tuple[int, bytes, bytes, tuple[int, ...]]] = {}
+        known, merged = np.array(pairs, dtype=np.int64), np.array(ranks, dtype=np.int64)
+        self.pairs = PairTable(known, merged)
+        self._learnt = bool((merged > np.maximum(known >> 32, known & 0xFFFFFFFF)).all())
+        self._cache: dict[str, tuple[int, bytes, bytes]] = {}
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece; a piece that is a token itself is that token."""
@@ -144,32 +150,55 @@ class ByteBpe:
                 ranks[line[inner], at[inner] - 1] = self.pairs.find(ids[line[inner], at[inner] - 1], ids[line[inner], at[inner]])
 
     def _merge_long(self, piece: bytes) -> list[int]:
-        """The same merges for one long piece: a heap of (rank, place) over a linked list."""
-        ids = self._byte_ids[np.frombuffer(piece, dtype=np.uint8)].tolist()
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        first = self.pairs.find(np.array(ids[:-1]), np.array(ids[1:]))
-        heap = [(r, k, ids[k], ids[k + 1]) for k, r in enumerate(first.tolist()) if r < NO_RANK]
-        heapq.heapify(heap)
-        bytes_of, ranks = self.bytes_of, self.ranks
-
-        def push(a: int, b: int) -> None:
-            rank = ranks.get(bytes_of[ids[a]] + bytes_of[ids[b]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, a, ids[a], ids[b]))
-
-        while heap:
-            rank, a, left, right = heapq.heappop(heap)
-            b = after[a]
-            if ids[a] != left or b >= len(ids) or ids[b] != right:
+        """A row of its own: linked cells, and the places of the pairs of each rank."""
+        ids = self._byte_ids[np.frombuffer(piece, dtype=np.uint8)].astype(np.int32)
+        n = len(ids)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        ranks = np.full(n, NO_RANK, dtype=np.int64)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            """Rank the pairs that begin at these cells."""
+            right = after[at]
+            found = self.pairs.find(ids[at].astype(np.int64), np.where(right < n, ids[np.minimum(right, n - 1)], -1).astype(np.int64))
+            ranks[at] = found
+            at, found = at[found < NO_RANK], found[found < NO_RANK]
+            if not len(at):
+                return
+            order = np.argsort(found, kind="stable")
+            at, found = at[order], found[order]
+            starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+            for rank, part in zip(found[starts].tolist(), np.split(at, starts[1:]), strict=True):
+                if rank not in places:
+                    places[rank] = []
+                    heapq.heappush(waiting, rank)
+                places[rank].append(part)
+
+        for at in range(0, n, 1 << 20):
+            look(np.arange(at, min(n, at + (1 << 20)), dtype=np.int32))
+        while waiting:
+            rank = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(places.pop(rank)))
+            at = at[ranks[at] == rank]
+            if not len(at):
                 continue
-            ids[a], ids[b] = rank, -1
-            after[a] = after[b]
-            if after[a] < len(ids):
-                before[after[a]] = a
-                push(a, after[a])
-            if before[a] >= 0:
-                push(before[a], a)
-        return [i for i in ids if i >= 0]
+            if self._learnt:  # of pairs that overlap in a row, every second one from the left
+                fresh = np.concatenate(([True], after[at[:-1]] != at[1:]))
+                line = np.arange(len(at))
+                at = at[(line - np.maximum.accumulate(np.where(fresh, line, 0))) % 2 == 0]
+            elif len(at) > 1:
+                places[rank] = [at[1:]]
+                heapq.heappush(waiting, rank)
+                at = at[:1]
+            gone = after[at]
+            ranks[gone] = NO_RANK
+            ids[at], ids[gone], after[at] = rank, -1, after[gone]
+            inner = after[at] < n
+            before[after[at][inner]] = at[inner]
+            left = before[at]
+            look(np.unique(np.concatenate((at, left[left >= 0]))))
+        return ids[ids >= 0].tolist()
 
     def decode(self, ids) -> bytes:
         """The bytes of a sequence of ids."""
@@ -195,7 +224,7 @@ class ByteBpe:
         names = list(new)
         raw = [piece.encode("utf-8", "surrogatepass") for piece in names]
         for piece, ids in zip(names, self.encode_pieces(raw), strict=True):
-            cache[piece] = (len(ids), " ".join(map(str, ids)).encode(), self.decode(ids), tuple(ids))
+            cache[piece] = (len(ids), " ".join(map(str, ids)).encode(), self.decode(ids))
 
     def _groups(self, texts: list[str | None]) -> Iterator[tuple[list[int], Iterator[list[list[str]]]]]:
         """Neighbouring texts of LONG_TEXT characters in all, or one longer text; each with its runs."""
@@ -211,7 +240,7 @@ class ByteBpe:
                 yield list(range(at, end)), iter([[self.pattern.findall(t or "") for t in texts[at:end]]])
             at = end
 
-    def encode_many(self, texts: list[str | None], with_ids: bool = True) -> list[tuple[int, list[int], str, str]]:
+    def encode_many(self, texts: list[str | None], with_ids: bool = True) -> list[tuple[int, np.ndarray, str, str]]:
         """For each text: number of ids, the ids, SHA-256 of the ids in decimal and of the decoded bytes."""
         out = []
         for names, blocks in self._groups(texts):
@@ -225,18 +254,18 @@ class ByteBpe:
                     if mine[0]:
                         mine[2].update(b" ")
                     mine[0] += sum([k[0] for k in known])
+                    told = b" ".join([k[1] for k in known])
                     if with_ids:
-                        mine[1].extend(chain.from_iterable([k[3] for k in known]))
-                    mine[2].update(b" ".join([k[1] for k in known]))
+                        mine[1].append(np.fromstring(told, dtype=np.int32, sep=" "))
+                    mine[2].update(told)
                     mine[3].update(b"".join([k[2] for k in known]))
-            out.extend((n, ids, a.hexdigest(), b.hexdigest()) for n, ids, a, b in state)
+            for n, ids, a, b in state:
+                whole = np.concatenate([np.zeros(0, dtype=np.int32), *ids])
+                out.append((n, whole, a.hexdigest(), b.hexdigest()))
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_many([text])[0][1]
-
-
-_loaded: dict[tuple, ByteBpe] = {}
+        return self.encode_many([text])[0][1].tolist()
 
 
 def _shared(spark: SparkSession, path: str, pattern: str):
@@ -248,9 +277,7 @@ def _shared(spark: SparkSession, path: str, pattern: str):
 
     def coder() -> ByteBpe:
         key, data, cut = shared.value
-        if (key, cut) not in _loaded:
-            _loaded[key, cut] = ByteBpe(data, cut)
-        return _loaded[key, cut]
+        return held(("bpe", key, cut), lambda: ByteBpe(data, cut))
 
     return coder
 
@@ -267,7 +294,7 @@ def encoder(spark: SparkSession, path: str, pattern: str):
 
     @F.pandas_udf("n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
     def encode(texts: pd.Series) -> pd.DataFrame:
-        rows = [(n, np.array(ids, dtype=np.int32), a, b) for n, ids, a, b in coder().encode_many(texts.tolist())]
+        rows = coder().encode_many(texts.tolist())
         return pd.DataFrame(rows, columns=["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
     return encode

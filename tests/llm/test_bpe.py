@@ -49,6 +49,25 @@ def test_around_the_matrix_bound(both, n):
     check(both, " " * n + "x")
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abcdeil éß日本", min_size=1, max_size=400), st.integers(1, 3), st.booleans())
+def test_rows_of_their_own(both, text, bound, learnt):
+    """Every match wider than the matrices' bound, and rank files that break the order of merges, give the same ids."""
+    mine, _ = both
+    pieces = [text.encode(), text.encode() * 3, b"a" * len(text)]
+    want = mine.encode_pieces(pieces)
+    old, was = bpe.MATRIX_BYTES, mine._learnt
+    try:
+        bpe.MATRIX_BYTES, mine._learnt = bound, learnt
+        assert mine.encode_pieces(pieces) == want
+    finally:
+        bpe.MATRIX_BYTES, mine._learnt = old, was
+
+
+def test_endless_match(both):
+    check(both, "qzxjkvwpyg" * 600)
+
+
 def test_runs_and_cache_bounds(both, monkeypatch):
     monkeypatch.setattr(bpe, "LONG_TEXT", 50)
     monkeypatch.setattr(bpe, "RUN_MATCHES", 7)
