@@ -133,9 +133,15 @@ def repeated_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, batches: int = 4
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = 20,
+    min_docs: int = 3,
+    batches: int = 4,
+    out_col: str = "line_dedup",
 ) -> DataFrame:
-    """docs plus ``kept_text``, ``n_lines`` and ``n_dropped`` in one struct column ``line_dedup``."""
+    """docs plus ``kept_text``, ``n_lines`` and ``n_dropped`` in one struct column ``out_col``, in place of one so named."""
     drops = repeated_lines(docs, id_col, text_col, min_chars, min_docs, batches).select(
         F.col("id").alias("__ld_id"), F.col("text_hash").alias("__ld_hash"), F.col("dropped").alias("__ld_dropped")
     )
@@ -151,12 +157,12 @@ def dedup_lines(
     )
     none = F.col("__ld_dropped").isNull()
     return joined.withColumn("__ld_lines", lines).select(
-        *[F.col(n) for n in names if n != "line_dedup"],
+        *[F.col(n) for n in names if n != out_col],
         F.struct(
             F.when(none, F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
             F.size("__ld_lines").cast("long").alias("n_lines"),
             F.when(none, 0).otherwise(F.size("__ld_dropped")).cast("long").alias("n_dropped"),
-        ).alias("line_dedup"),
+        ).alias(out_col),
     )
 
 
@@ -174,9 +180,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline form: the documents with the lines that stay, and n_chars to match."""
     names = docs.columns
-    new = {"text": F.col("line_dedup.kept_text"), "n_chars": F.length("line_dedup.kept_text").cast("long")}
-    changed = F.col("line_dedup.n_dropped") > 0
-    return dedup_lines(docs).select(
+    new = {"text": F.col("__ld_out.kept_text"), "n_chars": F.length("__ld_out.kept_text").cast("long")}
+    changed = F.col("__ld_out.n_dropped") > 0
+    return dedup_lines(docs, out_col="__ld_out").select(
         *[F.when(changed, new[n]).otherwise(F.col(n)).alias(n) if n in new else F.col(n) for n in names]
     )
 

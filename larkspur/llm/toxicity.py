@@ -12,7 +12,8 @@ uses about ``SAMPLE_ROWS`` labelled rows, drawn by hash of the id (a documented
 read whole and their features are made on the executors.
 
 Null or empty text has no features: its score is the calibrated bias.  Labels that are null or of
-unknown documents teach nothing; of repeated labels of a document the largest holds.  Without both
+unknown documents teach nothing; of repeated labels of a document the largest holds, and of rows that
+share an id the one of least text hash teaches.  Without both
 classes in the sample every score is the share of toxic rows (0 if there are none).  Other columns
 are ignored.
 """
@@ -20,6 +21,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from math import log
 
@@ -31,6 +33,7 @@ from pyspark.sql import types as T
 
 from larkspur.llm.langid import held_out
 from larkspur.llm.sampling import sample_of
+from larkspur.llm.worker import held
 
 DIMS = 1 << 20
 SAMPLE_ROWS = 5000
@@ -245,6 +248,12 @@ def constant(share: float, counts: np.ndarray) -> ToxicityModel:
     return ToxicityModel(counts, np.zeros(DIMS + 1, dtype=np.float32), bias, 1.0, 0.0)
 
 
+def sampled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, toxic, text): one row for each chosen (id, toxic), however many rows of docs share the id."""
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id"))
+    return rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """docs (doc_id, text), labels (doc_id, toxic); learns from rows that held_out() leaves."""
     spark = docs.sparkSession
@@ -252,15 +261,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumnRenamed("doc_id", "id")
     chosen = F.broadcast(sample_of(known, sample_rows))  # about sample_rows pairs
-    shared = spark.sparkContext.broadcast(counts)
+    shared, name = spark.sparkContext.broadcast(counts), uuid.uuid4().hex
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def featured(texts: pd.Series) -> pd.Series:
-        features = Features(CharModel(shared.value))
+        features = held(("toxicity-features", name), lambda: Features(CharModel(shared.value)))
         return pd.Series([np.array(sorted(features.of_text(t)), dtype=np.int32) for t in texts])
 
-    picked = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id"))
-    rows = picked.select("doc_id", "toxic", featured("text").alias("f")).toArrow().to_pandas()
+    rows = sampled_texts(docs, chosen).select("doc_id", "toxic", featured("text").alias("f")).toArrow().to_pandas()
     rows = rows.sort_values("doc_id", kind="stable")
     y = (rows["toxic"].to_numpy() > 0).astype(np.int64)
     if not len(y) or y.min() == y.max():
@@ -283,23 +291,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
 
 def scorer(spark: SparkSession, model: ToxicityModel):
     """Column function text -> double; the model is of fixed size."""
-    shared = spark.sparkContext.broadcast(model.parts)
+    shared, name = spark.sparkContext.broadcast(model.parts), uuid.uuid4().hex
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: pd.Series) -> pd.Series:
-        name = id(shared)
-        if name not in _loaded:
-            _loaded.clear()
-            _loaded[name] = ToxicityModel(*shared.value)
-        use = _loaded[name]
+        use = held(("toxicity", name), lambda: ToxicityModel(*shared.value))
         return pd.Series([use.score(t) for t in texts], dtype="float64")
 
     return score
 
 
-_loaded: dict[int, ToxicityModel] = {}
-
-
 def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Column:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))

@@ -59,6 +59,12 @@ def test_stage_keeps_columns(spark, odd_docs):
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
 
 
+def test_stage_keeps_a_column_named_like_its_own(spark, odd_docs):
+    out = line_dedup.stage(spark, odd_docs, "")
+    assert out.schema["line_dedup"].dataType == odd_docs.schema["line_dedup"].dataType
+    assert {r.line_dedup for r in out.collect()} == {"clash"}
+
+
 LINE = st.sampled_from(["a line of twenty chars", "A LINE of twenty chars ", "another long line here", "short", "", "third line that is long"])
 
 

@@ -72,6 +72,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
             assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores)
 
 
+def test_repeated_ids_teach_once(spark, corpus):
+    one, labels = corpus.select("doc_id", "text"), corpus.select("doc_id", "toxic")
+    copies = one.filter("doc_id = 1").crossJoin(spark.range(400)).select("doc_id", "text")
+    hot = toxicity.fit(one.union(copies), labels).parts
+    want = toxicity.fit(one, labels).parts
+    assert (hot[0] != want[0]).any()  # all texts are counted
+    assert abs(toxicity.ToxicityModel(*hot).score("scum") - toxicity.ToxicityModel(*want).score("scum")) < 0.05
+    picked = toxicity.sampled_texts(one.union(copies), labels.withColumnRenamed("doc_id", "id"))
+    assert picked.count() == corpus.count()
+
+
 def test_stage(spark, corpus, tmp_path):
     corpus.select("doc_id", "toxic").write.parquet(f"file://{tmp_path}/labels.parquet")
     docs = corpus.select("doc_id", "text").withColumn("score", F.lit("clash"))
