@@ -5,9 +5,9 @@ special tokens.  Matches not seen before are put into buckets by byte length, on
 each.  Every round, every row merges its leftmost pair of least rank: ranks come from an
 open-addressing hash table of id pairs, the merged row is compacted by one cell, and rows without
 a further merge leave the matrix.  A match over ``MATRIX_BYTES`` is a row of its own, whose rounds
-take every occurrence of the least rank at once, from the left: with ranks above those of their
-parts, as merges are learnt, that is the same order, and one endless match costs n log n.  Where a
-rank file breaks that rule, such a row too takes one merge a round.
+take every occurrence of the least rank at once, from the left: where no pair with the new token has
+a rank below it, that is the same order.  Of tokens that are part of one of lower rank, such a row
+too takes one merge a round.
 
 Matches are cached per worker, up to ``CACHE_ENTRIES`` (then the cache starts afresh).
 Very long texts are read in runs of matches, so memory follows the run and not the text.
@@ -99,6 +99,9 @@ class ByteBpe:
         known, merged = np.array(pairs, dtype=np.int64), np.array(ranks, dtype=np.int64)
         self.pairs = PairTable(known, merged)
         self._learnt = bool((merged > np.maximum(known >> 32, known & 0xFFFFFFFF)).all())
+        early = merged < np.maximum(known >> 32, known & 0xFFFFFFFF)
+        parts = np.concatenate((known[early] >> 32, known[early] & 0xFFFFFFFF))
+        self._early = frozenset(parts[parts > np.tile(merged[early], 2)].tolist())
         self._cache: dict[str, tuple[int, bytes, bytes]] = {}
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
@@ -157,6 +160,7 @@ class ByteBpe:
         ranks = np.full(n, NO_RANK, dtype=np.int64)
         places: dict[int, list[np.ndarray]] = {}
         waiting: list[int] = []
+        queues: dict[int, list[int]] = {}
 
         def look(at: np.ndarray) -> None:
             """Rank the pairs that begin at these cells."""
@@ -179,18 +183,31 @@ class ByteBpe:
             look(np.arange(at, min(n, at + (1 << 20)), dtype=np.int32))
         while waiting:
             rank = heapq.heappop(waiting)
-            at = np.unique(np.concatenate(places.pop(rank)))
-            at = at[ranks[at] == rank]
-            if not len(at):
-                continue
-            if self._learnt:  # of pairs that overlap in a row, every second one from the left
+            if self._learnt or rank not in self._early:
+                at = np.unique(np.concatenate(places.pop(rank)))
+                at = at[ranks[at] == rank]
+                if not len(at):
+                    continue
+                # of pairs that overlap in a row, every second one from the left
                 fresh = np.concatenate(([True], after[at[:-1]] != at[1:]))
                 line = np.arange(len(at))
                 at = at[(line - np.maximum.accumulate(np.where(fresh, line, 0))) % 2 == 0]
-            elif len(at) > 1:
-                places[rank] = [at[1:]]
-                heapq.heappush(waiting, rank)
-                at = at[:1]
+            else:
+                queue = queues.setdefault(rank, [])
+                for part in places.pop(rank):
+                    if queue:
+                        for place in part.tolist():
+                            heapq.heappush(queue, place)
+                    else:
+                        queue.extend(part.tolist())  # in order, and so a heap
+                while queue and ranks[queue[0]] != rank:
+                    heapq.heappop(queue)
+                if not queue:
+                    continue
+                at = np.array([heapq.heappop(queue)])
+                if queue:
+                    places[rank] = []
+                    heapq.heappush(waiting, rank)
             gone = after[at]
             ranks[gone] = NO_RANK
             ids[at], ids[gone], after[at] = rank, -1, after[gone]
