@@ -74,3 +74,16 @@ def test_stage_on_documents(spark):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     want = {rows[k][0] for k, least in enumerate(brute([t for _, t in rows])) if least == k}
     assert {r.doc_id for r in simhash.stage(spark, docs, SMALL).collect()} == want
+
+
+def test_long_texts_whose_sketches_differ_in_size(spark):
+    words = ["w%d" % k for k in range(1300)]
+    one, near, far = (" ".join(words[:n]) for n in (1000, 1200, 1300))
+    sizes = [len(jaccard.sketch_of(jaccard.shingle_set(t))) for t in (one, near)]
+    assert sizes == [32, 64]
+    docs = [(1, one), (2, near), (3, "else " + " ".join(reversed(words))), (4, " ".join(words[:999]) + " other")]
+    docs.append((5, far))
+    found = {r.id: r.component for r in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [found[k] for k in range(1, 6)] == [k + 1 for k in brute([t for _, t in docs])] == [1, 1, 3, 1, 1]
+    alone = spark.createDataFrame([(1, one), (2, far)], "doc_id long, text string")
+    assert sorted(r.component for r in jaccard.near_duplicates(alone).collect()) == [1, 2]
