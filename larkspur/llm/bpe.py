@@ -31,8 +31,9 @@ from pyspark.sql import types as T
 
 from larkspur.llm.worker import held
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 160_000
 MATRIX_BYTES = 256
+MATRIX_CELLS = 1 << 17
 LONG_TEXT = 1_000_000
 RUN_MATCHES = 100_000
 #: A rank file larger than this is refused: it is broadcast to every worker.
@@ -118,7 +119,7 @@ class ByteBpe:
                 buckets.setdefault((len(piece) - 1).bit_length(), []).append(k)
         for rows in buckets.values():
             width = max(len(pieces[k]) for k in rows)
-            step = max(1, (1 << 21) // width)
+            step = max(1, MATRIX_CELLS // width)
             for at in range(0, len(rows), step):
                 self._merge_matrix([pieces[k] for k in rows[at : at + step]], rows[at : at + step], out)
         return out
@@ -235,9 +236,10 @@ class ByteBpe:
         new = {piece for run in runs for piece in run if piece not in cache}
         if not new:
             return
-        if len(cache) + len(new) > CACHE_ENTRIES:
+        if len(cache) + len(new) > CACHE_ENTRIES:  # what these runs use stays
+            used = {piece: cache[piece] for run in runs for piece in run if piece in cache}
             cache.clear()
-            new = {piece for run in runs for piece in run}
+            cache.update(used)
         names = list(new)
         raw = [piece.encode("utf-8", "surrogatepass") for piece in names]
         for piece, ids in zip(names, self.encode_pieces(raw), strict=True):
