@@ -4,8 +4,8 @@ Shingles are the sets of 5 consecutive words as fingerprints see them (A-Z lower
 the whole sequence; none: no shingle), as 64-bit hashes.  Texts of equal sets are one node.  Two nodes link if they share p/q =
 0.8 of all their shingles or more.
 
-Search: shingles have one global order, those common in a sample of documents last, by hash otherwise.  The order decides what
-it costs, never what is found: nodes of n <= m shingles that link share a shingle among the first ``n - ceil(2pn/(p+q)) + 1`` of
+Search: shingles have one global order, those common in a sample of documents last, by hash otherwise.  The sample is a fixed
+share of large tables, so the order puts the same absolute frequencies last at any size.  It decides what it costs, never what is found: nodes of n <= m shingles that link share a shingle among the first ``n - ceil(2pn/(p+q)) + 1`` of
 the smaller and the first ``m - ceil(pm/q) + 1`` of the larger.  Those are the keys, joined by value.  Candidates whose
 sketches (two to four bits a shingle) differ in more bits than linked sets can are dropped, the rest is verified on whole sets.
 
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.llm.components import connected_components
-from larkspur.llm.sampling import sample_of
 from larkspur.llm.storage import materialize, remove, scratch
 from larkspur.llm.worker import held
 
@@ -35,8 +34,9 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 PAIR_BUCKET = 32
 SEED = 42
-#: A shingle is common if COMMON_IN of SAMPLE_TEXTS sampled texts hold it; at most COMMON_MOST are sent to the tasks.
-SAMPLE_TEXTS, COMMON_IN, COMMON_MOST = 4000, 4, 200_000
+#: A shingle is common if COMMON_IN of the sampled texts hold it: one text in SAMPLE_SHARE, or more of small tables (about
+#: SAMPLE_TEXTS).  At most COMMON_MOST are sent to the tasks.
+SAMPLE_TEXTS, SAMPLE_SHARE, COMMON_IN, COMMON_MOST = 4000, 8, 4, 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 KEYS = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("first", T.LongType()),
                      T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType()))])
@@ -129,7 +129,8 @@ def release(spark: SparkSession) -> None:
 
 def common_shingles(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted hashes of shingles that many of a sample of docs (id, text) hold."""
-    picked = sample_of(docs, SAMPLE_TEXTS).select(F.explode(_set_udf(shingle_words)("text")["shingles"]).alias("s"))
+    share = max(1, min(SAMPLE_SHARE, docs.count() // SAMPLE_TEXTS))
+    picked = docs.filter(F.pmod(F.xxhash64(F.lit(SEED), "id", "text"), F.lit(share)) == 0).select(F.explode(_set_udf(shingle_words)("text")["shingles"]).alias("s"))
     often = picked.groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_IN)
     rows = often.orderBy(F.desc("n"), "s").limit(COMMON_MOST).toArrow()
     return np.sort(rows["s"].to_numpy().astype(np.int64).view(np.uint64))
@@ -138,8 +139,8 @@ def common_shingles(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> np.n
 class Linker:
     """Rows of docs with their nodes, and the links between nodes."""
 
-    def __init__(self, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> None:
-        """docs (id, text)."""
+    def __init__(self, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, *more: Column) -> None:
+        """docs (id, text); more: further columns of the rows, made in the same pass."""
         self.spark, self.docs, self.words = docs.sparkSession, docs, shingle_words
         self.paths: dict[str, str] = {}
         self.ratio = ratio = Fraction(similarity).limit_denominator(1000)
@@ -150,7 +151,8 @@ class Linker:
             common = held(("shingles", name), lambda: shared.value)
             return pd.DataFrame([keys_of(t, common, shingle_words, ratio) for t in texts], columns=KEYS.names)
 
-        rows = docs.select("id", keys("text").alias("k")).select("id", "k.*")
+        rows = docs.select("id", keys("text").alias("k"), F.struct(F.lit(0).alias("__none"), *more).alias("m"))
+        rows = rows.select("id", "k.*", "m.*").drop("__none")
         self.rows = self.kept(rows, "keys")
 
     def kept(self, rows: DataFrame, name: str) -> DataFrame:
@@ -237,6 +239,14 @@ class Linker:
         many = many.join(main.filter("parts > 1"), "key")
         return found.union(self.verified(self.candidates(many.filter("comp <> main"), many)))
 
+    def classes(self, edges: DataFrame) -> DataFrame:
+        """(id, node, component) for every row, nodes joined by edges (a, b)."""
+        components = connected_components(edges).withColumnRenamed("component", "root")
+        nodes = self.rows.groupBy("node").agg(F.min("id").alias("least"))
+        nodes = nodes.join(components, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+        least = nodes.groupBy("root").agg(F.min("least").alias("component"))
+        return self.rows.select("id", "node").join(nodes.join(least, "root").select("node", "component"), "node")
+
 
 def near_duplicates(
     docs: DataFrame,
@@ -248,8 +258,4 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, node, component) for every row of docs; component the smallest id reachable, null if none has one."""
     linker = Linker(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle_words, similarity)
-    components = connected_components(linker.links(pair_bucket)).withColumnRenamed("component", "root")
-    nodes = linker.rows.groupBy("node").agg(F.min("id").alias("least"))
-    nodes = nodes.join(components, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = nodes.groupBy("root").agg(F.min("least").alias("component"))
-    return linker.rows.select("id", "node").join(nodes.join(least, "root").select("node", "component"), "node")
+    return linker.classes(linker.links(pair_bucket))

@@ -186,12 +186,27 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, node, component) for every row of docs, linked by two bits of their fingerprints or by the Jaccard similarity of ``jaccard``.
+
+    Neither kind of link holds all of the other: both are found, in one pass over the texts, and joined before components are made.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    print_ = fingerprint_udf(F.coalesce("text", F.lit(""))).alias("fp")
+    linker = jaccard.Linker(rows, jaccard.SHINGLE_WORDS, jaccard.SIMILARITY, print_)
+    prints = linker.rows.select("node", "fp").distinct()
+    near = connected_components(link_fingerprints(prints.select("fp").distinct())).withColumnRenamed("node", "fp")
+    classed = prints.join(near, "fp", "left").select("node", F.coalesce("component", "fp").alias("class"))
+    heads = classed.groupBy("class").agg(F.min("node").alias("a"))
+    stars = classed.join(heads, "class").filter("node <> a").select("a", F.col("node").alias("b"))
+    return linker.classes(linker.links().union(stars))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline form: of each component of texts that share 0.8 of their 5-word shingles the document with the smallest id stays.
+    """Pipeline form: of each component of ``near_copies`` the document with the smallest id stays.
 
-    Links are those of ``jaccard``, not the two bits of the query.  Rows with a null id stay.  Rows that share the smallest id
-    all stay.
+    Rows with a null id stay.  Rows that share the smallest id all stay.
     """
-    found = jaccard.near_duplicates(docs)
+    found = near_copies(docs)
     gone = found.filter(F.col("id") > F.col("component")).select(F.col("id").alias("__nd_id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__nd_id"), "left_anti")

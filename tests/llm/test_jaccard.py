@@ -87,3 +87,22 @@ def test_long_texts_whose_sketches_differ_in_size(spark):
     assert [found[k] for k in range(1, 6)] == [k + 1 for k in brute([t for _, t in docs])] == [1, 1, 3, 1, 1]
     alone = spark.createDataFrame([(1, one), (2, far)], "doc_id long, text string")
     assert sorted(r.component for r in jaccard.near_duplicates(alone).collect()) == [1, 2]
+
+
+def test_stage_links_by_fingerprints_too(spark):
+    """The method's own links: two bits apart or less, though the sets of 5-word shingles differ."""
+    base = "every part of this line comes again and again in both " * 60
+    a, b = (base + " ".join(f"{w}{k}" for k in range(30)) for w in ("one", "two"))
+    assert (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= 2
+    assert not similar(shingles(a), shingles(b))
+    docs = spark.createDataFrame([(1, a), (2, b), (3, "something else altogether in here")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.stage(spark, docs, "").collect()) == [1, 3]
+
+
+def test_common_shingles_of_large_tables(spark):
+    """Passages that 48 texts hold are known as common however many other texts there are, or buckets would grow with the table."""
+    spread = "CASE WHEN id % 1333 < 40 THEN concat_ws(' ', 'p' || (id % 1333), 'of', 'one', 'known', 'passage') ELSE concat('a', id, ' b', id, ' c') END"
+    docs = spark.range(64_000).selectExpr("id", f"{spread} || ' u' || id AS text")
+    common = set(jaccard.common_shingles(docs).tolist())
+    found = sum(jaccard.shingle_set(f"p{k} of one known passage").tolist()[0] in common for k in range(40))
+    assert found > 24
