@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.storage import materialize, scratch
 
-OLD_SHARDS, NEW_SHARDS = 40, 40
+OLD_SHARDS, NEW_SHARDS = 32, 40
 BLOCKS, FINE, FILES = 128, 200, 4
 #: A file of a shard is written in parts of about so many bytes, so that tasks stay small at any size.
 PART_BYTES = 64 << 20

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import sharding as S
 from larkspur.llm.storage import scratch
+from tests.conftest import SMALL
 
 
 def test_flow_is_cheapest():
@@ -75,3 +76,17 @@ def test_sizes_are_near_equal(spark):
     assert len(sizes) == 40 and max(sizes) - min(sizes) < 0.02 * sum(sizes) / 40
     kept = rows.join(docs.withColumnRenamed("text", "t"), "doc_id").filter("text = t").count()
     assert kept == 6000
+
+
+def test_query_reshards(spark, monkeypatch):
+    """The flow of the query has a fifth of all bytes to move, and little more is moved."""
+    seen, plan = [], S.plan
+    monkeypatch.setattr(S, "plan", lambda blocks, shards: seen.append((blocks, plan(blocks, shards))) or seen[-1][1])
+    rows = S.query(spark, SMALL).collect()
+    (blocks, target), total, held = seen[0], 0, {}
+    for shard, _, _, size in blocks:
+        held[shard], total = held.get(shard, 0) + size, total + size
+    moved = sum(size for shard, _, block, size in blocks if target[shard, block] != shard)
+    least = sum(n for (i, j), n in S.flows(held, S.capacities(total, 40)).items() if i != j)
+    assert sum(r["size"] for r in rows) == total and {r.shard for r in rows} == set(range(40))
+    assert 0.15 * total < least and moved < 1.5 * least
