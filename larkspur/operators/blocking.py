@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.similarity import _pairwise, sequence_ratio, weighted_ratio
 from larkspur.functions.vectors import char_wb_grams, cosine_top_k, word_grams
+from larkspur.operators.products import Bag, shared_counts
 
 # Words that block too much.
 NAME_STOPWORDS = (
@@ -70,22 +71,19 @@ def name_country(ref: DataFrame, tgt: DataFrame) -> DataFrame:
     return equal_key(ref, tgt, "name_country", key, key)
 
 
-def _counted(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(keys, token, name): each distinct token of a row's array with its occurrences; a narrow operation."""
-    each = rows.select(*keys, "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
-    return each.select(*keys, "token", F.size(F.filter("tokens", lambda t: t == F.col("token"))).alias(name))
+def _useful(column: str, stopwords: tuple[str, ...]) -> Column:
+    return F.filter(column, lambda t: (F.length(t) > 1) & ~t.isin(*stopwords))
+
+
+def _share(shared: Column, total: Column) -> Column:
+    return shared / F.greatest(total, F.lit(1))
 
 
 def _shared_tokens(ref: DataFrame, tgt: DataFrame, column: str, stopwords: tuple[str, ...], min_shared: int, name: str) -> DataFrame:
     """Shared token occurrences (bags: repeats multiply), over the reference's meaningful ones."""
-    useful = F.filter(column, lambda t: (F.length(t) > 1) & ~t.isin(*stopwords))
-    # Occurrences are counted within the record, so each token of it is moved once and nothing is grouped before the join.
-    a = ref.select(F.col("entity_id").alias("s1_id"), useful.alias("tokens")).withColumn("total", F.size("tokens"))
-    a = _counted(a, ["s1_id", "total"], "n")
-    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), F.col(column).alias("tokens"))
-    b = _counted(b, ["candidate_id", "candidate_source"], "m")
-    pairs = a.join(b, "token").groupBy(*PAIR, "total").agg(F.sum(F.col("n") * F.col("m")).alias("shared"))
-    return _result(pairs.filter(F.col("shared") >= min_shared), name, F.col("shared") / F.greatest(F.col("total"), F.lit(1)))
+    useful = _useful(column, stopwords)
+    pairs = shared_counts(ref, tgt, [Bag(useful, F.col(column), min_shared)])
+    return _result(pairs, name, _share(F.col("shared_0"), F.col("total_0")))
 
 
 def token_name(ref: DataFrame, tgt: DataFrame, min_shared: int = 1) -> DataFrame:
@@ -162,6 +160,21 @@ BLOCKERS = {
 }
 
 
+def _key(key: Column) -> Bag:
+    tokens = F.when(key != "", F.array(key))
+    return Bag(tokens, tokens)
+
+
+# Blockers whose pairs are made together, in one product: each as a bag of tokens and whether its score is the share of them.
+TOGETHER = {
+    exact_name: lambda: (_key(F.trim("name_norm")), False),
+    exact_compact_name: lambda: (_key(F.col("name_compact")), False),
+    postal: lambda: (_key(F.col("postal")), False),
+    token_name: lambda: (Bag(_useful("name_tokens", NAME_STOPWORDS), F.col("name_tokens"), 1), True),
+    address_token: lambda: (Bag(_useful("address_tokens", ADDRESS_STOPWORDS), F.col("address_tokens"), 2), True),
+}
+
+
 @dataclass
 class CandidateSet:
     """Deduplicated candidate pairs with their provenance."""
@@ -201,8 +214,25 @@ class CandidateSet:
 
 def generate(ref: DataFrame, targets: DataFrame, blockers: list[str]) -> CandidateSet:
     """The union of all named blockers over all targets."""
+    names = sorted(set(blockers))
+    if names and all(BLOCKERS[name] in TOGETHER for name in names):
+        return _together(ref, targets, names)
     hits = None
     for name in blockers:
         part = BLOCKERS[name](ref, targets)
         hits = part if hits is None else hits.unionByName(part)
     return CandidateSet.of(hits)
+
+
+def _together(ref: DataFrame, targets: DataFrame, names: list[str]) -> CandidateSet:
+    """One product for all blockers: each pair is made once, with what found it."""
+    bags = [TOGETHER[BLOCKERS[name]]() for name in names]
+    pairs = shared_counts(ref, targets, [bag for bag, _ in bags])
+    found, scores = [], []
+    for k, (name, (bag, share)) in enumerate(zip(names, bags, strict=True)):
+        shared = F.col(f"shared_{k}")
+        score = _share(shared, F.col(f"total_{k}")) if share else F.lit(1.0)
+        found.append(F.when(shared >= bag.least, F.lit(name)))
+        scores.append(F.when(shared >= bag.least, F.struct(F.lit(name).alias("blocker"), score.alias("block_score"))))
+    blockers, block_scores = F.array_compact(F.array(*found)), F.map_from_entries(F.array_compact(F.array(*scores)))
+    return CandidateSet(pairs.select(*PAIR, blockers.alias("blockers"), block_scores.alias("block_scores")))

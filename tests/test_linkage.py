@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import pairs, production, submission
 from larkspur.operators.blocking import CandidateSet, generate
+from larkspur.plans import data
 from larkspur.sources import records
 from larkspur.streaming.linkage import link, link_stream, read_stream
+from tests.conftest import SMALL
 
 RAW = [
     ("S1-001", "Apollo Pharmacy", "123 Mahatma Gandhi Road, Chennai 600001", "India"),
@@ -184,3 +186,33 @@ def test_stream(spark, raw, rec, tmp_path):
     found = spark.read.parquet(f"file://{tmp_path}/out")
     batch = link(rec.filter("source = 1"), targets, BLOCKERS, 0.5)
     assert sorted((r.s1_id, r.candidate_id) for r in found.collect()) == sorted((r.s1_id, r.candidate_id) for r in batch.collect())
+
+
+def test_products_against_a_join(spark):
+    """Bags, repeats, empty and absent tokens, repeated ids, over several chunks of either side."""
+    import random
+
+    from larkspur.operators.products import Bag, shared_counts
+
+    rng = random.Random(5)
+    side = lambda p, n: [(f"{p}-{k % (n - 3)}", 2, [rng.choice("abcdefgh") for _ in range(rng.randrange(5))] or None) for k in range(n)]
+    one, two = side("S1", 40), side("S2", 60)
+    want = {}
+    for x, _, s in one:
+        for y, _, t in two:
+            want[x, y] = want.get((x, y), 0) + sum(a == b for a in s or () for b in t or ())
+    schema = "entity_id string, source int, w array<string>"
+    bag = Bag(F.col("w"), F.col("w"), 2)
+    made = shared_counts(spark.createDataFrame(one, schema), spark.createDataFrame(two, schema), [bag], 7, 16)
+    rows = made.collect()
+    assert {(r.s1_id, r.candidate_id): r.shared_0 for r in rows} == {k: n for k, n in want.items() if n >= 2}
+    assert len(rows) == len({(r.s1_id, r.candidate_id) for r in rows})
+
+
+def test_candidates_are_not_moved(spark):
+    """Pairs outnumber records by far: a plan that groups or joins them writes them all to disk."""
+    rec = data.records(spark, SMALL)
+    found = generate(rec.filter("source = 1"), rec.filter("source > 1"), ["exact_name", "token_name", "postal"])
+    plan = found.table()._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Join" not in above and "Aggregate" not in above
