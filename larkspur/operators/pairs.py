@@ -140,7 +140,8 @@ def resolve(
     more = one if multi_match_threshold is None else multi_match_threshold
     more = F.greatest(one, more if isinstance(more, Column) else F.lit(float(more)))
     rank = F.row_number().over(W.partitionBy(*by, "s1_id").orderBy(F.desc("score"), "candidate_id"))
-    ranked = scored.withColumn("rank", rank)
+    # What is under the first threshold is never kept and ranks after what is: it need not be moved.
+    ranked = scored.filter(F.col("score") >= one).withColumn("rank", rank)
     kept = ranked.filter(F.col("score") >= F.when(F.col("rank") == 1, one).otherwise(more))
     return kept if max_matches is None else kept.filter(F.col("rank") <= max_matches)
 
