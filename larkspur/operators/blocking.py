@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.similarity import _pairwise, sequence_ratio, weighted_ratio
 from larkspur.functions.vectors import char_wb_grams, cosine_top_k, word_grams
-from larkspur.operators.products import Bag, shared_counts
+from larkspur.operators.bounds import Floor
+from larkspur.operators.products import Bag, _side, pair_count, pair_lists, pair_scores, shared_counts
 
 # Words that block too much.
 NAME_STOPWORDS = (
@@ -212,10 +213,15 @@ class CandidateSet:
         return self.frame.groupBy("s1_id").agg(F.array_sort(F.collect_set("candidate_id")).alias("candidates"))
 
 
+def together(blockers: list[str]) -> bool:
+    """Whether one product makes the pairs of all these blockers."""
+    return bool(blockers) and all(BLOCKERS[name] in TOGETHER for name in blockers)
+
+
 def generate(ref: DataFrame, targets: DataFrame, blockers: list[str]) -> CandidateSet:
     """The union of all named blockers over all targets."""
     names = sorted(set(blockers))
-    if names and all(BLOCKERS[name] in TOGETHER for name in names):
+    if together(names):
         return _together(ref, targets, names)
     hits = None
     for name in blockers:
@@ -236,3 +242,39 @@ def _together(ref: DataFrame, targets: DataFrame, names: list[str]) -> Candidate
         scores.append(F.when(shared >= bag.least, F.struct(F.lit(name).alias("blocker"), score.alias("block_score"))))
     blockers, block_scores = F.array_compact(F.array(*found)), F.map_from_entries(F.array_compact(F.array(*scores)))
     return CandidateSet(pairs.select(*PAIR, blockers.alias("blockers"), block_scores.alias("block_scores")))
+
+
+def _bags(blockers: list[str]) -> list[Bag]:
+    return [TOGETHER[BLOCKERS[name]]()[0] for name in sorted(set(blockers))]
+
+
+def strong(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor) -> DataFrame:
+    """(s1_id, candidate_id, score) of the union's pairs with a rule score of the floor or more (or less by rounding); no other pair is made."""
+    return pair_scores(ref, targets, _bags(blockers), floor)
+
+
+def strong_lists(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor, sure: float, ids: bool = True) -> DataFrame:
+    """The same pairs as rows of ``products.pair_lists``."""
+    return pair_lists(ref, targets, _bags(blockers), floor, sure, ids)
+
+
+def total(ref: DataFrame, targets: DataFrame, blockers: list[str], records: bool = False) -> DataFrame:
+    """(total_candidates): the size of the union, whose pairs (of ids or of records) are counted where they are found."""
+    return pair_count(ref, targets, _bags(blockers), records).select(F.col("pairs").alias("total_candidates"))
+
+
+def among(pairs: DataFrame, ref: DataFrame, targets: DataFrame, blockers: list[str]) -> DataFrame:
+    """Those of pairs (s1_id, candidate_id) that the union holds: each is looked up by its two records, the union is not made."""
+    bags = _bags(blockers)
+    a = _side(ref, {"s1_id": "entity_id"}, [b.ref for b in bags])
+    b = _side(targets, {"candidate_id": "entity_id"}, [b.tgt for b in bags])
+    names = [f"t{k}" for k in range(len(bags))]
+    both = pairs.join(a.withColumnsRenamed({n: f"a_{n}" for n in names}), "s1_id").join(b.withColumnsRenamed({n: f"b_{n}" for n in names}), "candidate_id")
+
+    def shared(name: str) -> Column:
+        return F.aggregate(f"a_{name}", F.lit(0), lambda s, t: s + F.size(F.filter(f"b_{name}", lambda x: x == t)))
+
+    held = F.lit(False)
+    for n, bag in zip(names, bags, strict=True):
+        held = held | (shared(n) >= bag.least)
+    return both.filter(held).select(*pairs.columns)

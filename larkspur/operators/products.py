@@ -8,7 +8,7 @@ counts of one reference are one dense row.  Pairs leave the task as they are fou
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from larkspur.operators.bounds import SLACK, Floor, Records, sketch
+
 #: Records of a chunk: references of one are streamed, targets of one are held by a task.
 REF_ROWS, TARGET_ROWS, OUT_ROWS = 16_384, 65_536, 100_000
 
@@ -31,11 +33,16 @@ class Bag:
     least: int = 1
 
 
-def _side(records: DataFrame, names: dict[str, str], bags: list[Column]) -> DataFrame:
-    """(ids, t0, t1, ...), one row for each id: tokens of repeated records add up."""
+def _side(records: DataFrame, names: dict[str, str], bags: list[Column], more: dict[str, Column] | None = None) -> DataFrame:
+    """(ids, t0, t1, ...), one row for each id: tokens of repeated records add up.  With more columns, a row for each record, with its id's tokens."""
     none = F.array().cast("array<string>")
-    rows = records.select(*[F.col(c).alias(n) for n, c in names.items()], *[F.coalesce(b, none).alias(f"t{k}") for k, b in enumerate(bags)])
-    return rows.groupBy(*names).agg(*[F.flatten(F.collect_list(f"t{k}")).alias(f"t{k}") for k in range(len(bags))])
+    rows = records.select(
+        *[F.col(c).alias(n) for n, c in names.items()], *[F.coalesce(b, none).alias(f"t{k}") for k, b in enumerate(bags)],
+        *([F.struct(*[c.alias(n) for n, c in more.items()]).alias("record")] if more else []),
+    )
+    held = [F.collect_list("record").alias("records")] if more else []
+    made = rows.groupBy(*names).agg(*[F.flatten(F.collect_list(f"t{k}")).alias(f"t{k}") for k in range(len(bags))], *held)
+    return made.withColumn("record", F.explode("records")).select(*[c for c in made.columns if c != "records"], "record.*") if more else made
 
 
 def _flat(column: pa.ChunkedArray | pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -49,6 +56,7 @@ class _Targets:
     """The inverted targets of one group."""
 
     def __init__(self, table: pa.Table, bags: int) -> None:
+        self.table, self.records = table, None
         self.ids, self.source = table["id"].combine_chunks(), table["source"].combine_chunks()
         self.size, self.postings = len(table), []
         for k in range(bags):
@@ -59,15 +67,18 @@ class _Targets:
             starts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
             self.postings.append((coded.dictionary, rows[order], starts))
 
-    def counts(self, k: int, tokens: pa.Array, rows: np.ndarray, refs: int) -> Iterator[np.ndarray | None]:
-        """Shared occurrences with every target, reference by reference; None where there are none."""
+    def held(self, k: int, tokens: pa.Array, rows: np.ndarray, refs: int) -> Iterator[list[np.ndarray]]:
+        """The targets of each token occurrence, reference by reference."""
         words, held, starts = self.postings[k]
         codes = pc.fill_null(pc.index_in(tokens, value_set=words), -1).to_numpy(zero_copy_only=False)
         rows, codes = rows[codes >= 0], codes[codes >= 0]
         ends = np.searchsorted(rows, np.arange(refs + 1))
         for r in range(refs):
-            own = codes[ends[r] : ends[r + 1]]
-            parts = [held[starts[c] : starts[c + 1]] for c in own]
+            yield [held[starts[c] : starts[c + 1]] for c in codes[ends[r] : ends[r + 1]]]
+
+    def counts(self, k: int, tokens: pa.Array, rows: np.ndarray, refs: int) -> Iterator[np.ndarray | None]:
+        """Shared occurrences with every target, reference by reference; None where there are none."""
+        for parts in self.held(k, tokens, rows, refs):
             yield np.bincount(np.concatenate(parts), minlength=self.size) if parts else None
 
 
@@ -100,14 +111,107 @@ def _pairs(refs: pa.RecordBatch, targets: _Targets, least: tuple[int, ...], sche
         yield batch()
 
 
+def _found(refs: pa.RecordBatch, targets: _Targets, least: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs alone, as places in refs and targets, some OUT_ROWS or more at a time."""
+    streams = [targets.held(k, *_flat(refs[f"t{k}"]), len(refs)) for k in range(len(least))]
+    kept, size, seen = [], 0, np.zeros(targets.size, dtype=bool)
+    for r, found in enumerate(zip(*streams, strict=True)):
+        for n, parts in zip(least, found, strict=True):
+            if n <= 1:
+                for part in parts:
+                    seen[part] = True
+            elif parts:
+                seen |= np.bincount(np.concatenate(parts), minlength=targets.size) >= n
+        at = np.flatnonzero(seen)
+        if len(at):
+            seen[at] = False
+            kept.append((np.full(len(at), r), at))
+            size += len(at)
+        if size >= OUT_ROWS:
+            yield tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+            kept, size = [], 0
+    if kept:
+        yield tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+
+
+def _scored(refs: pa.RecordBatch, targets: _Targets, least: tuple[int, ...], floor: Floor) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    targets.records = targets.records or Records(targets.table)
+    records = Records(refs, targets.records)
+    for rows, at in _found(refs, targets, least):
+        left, scores = floor.scores(records, rows, targets.records, at)
+        if len(left):
+            yield rows[left], at[left], scores
+
+
 def shared_counts(ref: DataFrame, tgt: DataFrame, bags: list[Bag], ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
     """(s1_id, candidate_id, candidate_source, shared_0, ..., total_0, ...) of the pairs that share enough occurrences in one bag at least.
 
     shared_k counts the occurrences of bag k that a pair shares (repeats multiply), total_k those of the reference.
     """
-    a = _side(ref, {"id": "entity_id"}, [b.ref for b in bags])
-    b = _side(tgt, {"id": "entity_id", "source": "source"}, [b.tgt for b in bags])
     kind, source = dict(tgt.dtypes)["source"], to_arrow_type(tgt.schema["source"].dataType)
+    numbers = [f"{what}_{k}" for what in ("shared", "total") for k in range(len(bags))]
+    schema = f"s1_id string, candidate_id string, candidate_source {kind}, " + ", ".join(f"{n} int" for n in numbers)
+    arrow = pa.schema([("s1_id", pa.string()), ("candidate_id", pa.string()), ("candidate_source", source), *[(n, pa.int32()) for n in numbers]])
+    least = tuple(x.least for x in bags)
+    return _product(ref, tgt, bags, {}, lambda refs, targets: _pairs(refs, targets, least, arrow), schema, ref_rows, target_rows)
+
+
+def pair_scores(ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(s1_id, candidate_id, score) of those pairs whose rule score is the floor or more (or less by a slack of rounding), once for each pair of records."""
+    arrow = pa.schema([("s1_id", pa.string()), ("candidate_id", pa.string()), ("score", pa.float64())])
+    least = tuple(x.least for x in bags)
+
+    def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
+        for rows, at, scores in _scored(refs, targets, least, floor):
+            yield pa.RecordBatch.from_arrays([refs["id"].take(pa.array(rows)), targets.ids.take(pa.array(at)), pa.array(scores)], schema=arrow)
+
+    return _product(ref, tgt, bags, sketch(), run, "s1_id string, candidate_id string, score double", ref_rows, target_rows)
+
+
+def pair_lists(
+    ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, sure: float, ids: bool = True, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS,
+) -> DataFrame:
+    """(s1_id, n, ids, candidate_id, score): of pairs surely over sure the number and (if ids) the candidates of each reference and chunk, other pairs one by one."""
+    arrow = pa.schema([("s1_id", pa.string()), ("n", pa.int64()), ("ids", pa.list_(pa.string())), ("candidate_id", pa.string()), ("score", pa.float64())])
+    least = tuple(x.least for x in bags)
+
+    def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
+        for rows, at, scores in _scored(refs, targets, least, floor):
+            over = scores >= sure + SLACK
+            mine, theirs, open_ = rows[over], at[over], np.flatnonzero(~over)
+            starts = np.flatnonzero(np.diff(mine, prepend=-1))  # rows come reference by reference
+            ends = np.append(starts, len(mine))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), targets.ids.take(pa.array(theirs))) if ids else pa.nulls(len(starts), arrow.field("ids").type)
+            many, one = pa.nulls(len(starts), pa.string()), refs["id"].take(pa.array(mine[starts]))
+            if len(starts):
+                yield pa.RecordBatch.from_arrays([one, pa.array(np.diff(ends), pa.int64()), lists, many, pa.nulls(len(starts), pa.float64())], schema=arrow)
+            if len(open_):
+                none = pa.nulls(len(open_), arrow.field("ids").type)
+                pairs = refs["id"].take(pa.array(rows[open_])), targets.ids.take(pa.array(at[open_]))
+                yield pa.RecordBatch.from_arrays([pairs[0], pa.array(np.zeros(len(open_), np.int64)), none, pairs[1], pa.array(scores[open_])], schema=arrow)
+
+    schema = "s1_id string, n long, ids array<string>, candidate_id string, score double"
+    return _product(ref, tgt, bags, sketch(), run, schema, ref_rows, target_rows)
+
+
+def pair_count(ref: DataFrame, tgt: DataFrame, bags: list[Bag], records: bool = False, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(pairs): one row with the number of those pairs, of ids or of records."""
+    arrow, least = pa.schema([("pairs", pa.int64())]), tuple(x.least for x in bags)
+
+    def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(at) for _, at in _found(refs, targets, least))], pa.int64())], schema=arrow)
+
+    return _product(ref, tgt, bags, {"one": F.lit(1)} if records else {}, run, "pairs long", ref_rows, target_rows).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"))
+
+
+def _product(
+    ref: DataFrame, tgt: DataFrame, bags: list[Bag], more: dict[str, Column], made: Callable[[pa.RecordBatch, _Targets], Iterator[pa.RecordBatch]],
+    schema: str, ref_rows: int, target_rows: int,
+) -> DataFrame:
+    """made of each batch of references and each chunk of targets; more: columns that records have besides."""
+    a = _side(ref, {"id": "entity_id"}, [b.ref for b in bags], more)
+    b = _side(tgt, {"id": "entity_id", "source": "source"}, [b.tgt for b in bags], more)
+    kind = dict(tgt.dtypes)["source"]
     across, down = max(1, -(-ref.count() // ref_rows)), max(1, -(-tgt.count() // target_rows))
     mine, theirs = F.pmod(F.xxhash64("id"), F.lit(across)), F.pmod(F.xxhash64("id"), F.lit(down))
     a = a.withColumns({"source": F.lit(None).cast(kind), "i": mine, "j": F.explode(F.sequence(F.lit(0), F.lit(down - 1)))})
@@ -115,10 +219,7 @@ def shared_counts(ref: DataFrame, tgt: DataFrame, bags: list[Bag], ref_rows: int
     rows = b.withColumn("late", F.lit(False)).unionByName(a.withColumn("late", F.lit(True)))
     rows = rows.withColumn("g", F.col("i").cast("int") * down + F.col("j").cast("int")).drop("i", "j")
     rows = rows.repartition(across * down, "g").sortWithinPartitions("g", "late")
-    least = tuple(x.least for x in bags)
-    numbers = [f"{what}_{k}" for what in ("shared", "total") for k in range(len(bags))]
-    schema = f"s1_id string, candidate_id string, candidate_source {kind}, " + ", ".join(f"{n} int" for n in numbers)
-    arrow = pa.schema([("s1_id", pa.string()), ("candidate_id", pa.string()), ("candidate_source", source), *[(n, pa.int32()) for n in numbers]])
+    count = len(bags)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, targets = None, [], None
@@ -134,8 +235,8 @@ def shared_counts(ref: DataFrame, tgt: DataFrame, bags: list[Bag], ref_rows: int
                 if not late[start]:
                     held.append(part)
                 elif held or targets:
-                    targets = targets or _Targets(pa.Table.from_batches(held), len(least))
+                    targets = targets or _Targets(pa.Table.from_batches(held), count)
                     held = []
-                    yield from _pairs(part, targets, least, arrow)
+                    yield from made(part, targets)
 
     return rows.mapInArrow(run, schema)

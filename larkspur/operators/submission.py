@@ -32,6 +32,11 @@ def matching_results(matches: DataFrame, s1: DataFrame) -> DataFrame:
     return id_list(matches, s1, "matched_entity_ids")
 
 
+def matching_lists(predicted: DataFrame) -> DataFrame:
+    """``matching_results`` of (s1_id, predicted), whose arrays are sorted."""
+    return predicted.select(F.col("s1_id").alias("source1_entity_id"), F.array_join("predicted", ",").alias("matched_entity_ids"))
+
+
 def candidate_pairs(candidates: DataFrame, s1: DataFrame) -> DataFrame:
     return id_list(candidates, s1, "candidate_entity_ids")
 
@@ -46,6 +51,12 @@ CHECKS = (
 )
 
 
+def matched_pairs(results: DataFrame) -> DataFrame:
+    """(s1_id, candidate_id) of results (source1_entity_id, matched_entity_ids)."""
+    ids = F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")
+    return results.select(F.col("source1_entity_id").alias("s1_id"), F.explode(ids).alias("candidate_id"))
+
+
 def validate_linkage(results: DataFrame, s1: DataFrame, targets: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """(check_name, violations) of results (source1_entity_id, matched_entity_ids).
 
