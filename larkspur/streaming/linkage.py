@@ -10,14 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larkspur.operators import pairs
-from larkspur.operators.blocking import generate
+from larkspur.operators.blocking import generate, strong, together
 from larkspur.sources.records import normalised
 
 
 def link(ref: DataFrame, targets: DataFrame, blockers: list[str], threshold: float) -> DataFrame:
     """Matches (s1_id, candidate_id, score) of normalised records."""
+    if together(blockers):  # without a second threshold, every pair that reaches the first one is kept
+        return strong(ref, targets, blockers, pairs.rule_floor(threshold)).filter(F.col("score") >= threshold)
     found = generate(ref, targets, blockers)
     records = ref.unionByName(targets)
     scored = pairs.rule_score(pairs.pair_features(found.frame.select("s1_id", "candidate_id", "blockers"), records))

@@ -15,6 +15,7 @@ from tests.conftest import SMALL, assert_same
 
 BLOCKERS = ["exact_name", "token_name", "postal"]
 ALONE = [
+    "stream_static_er",
     "missed_pairs",
     "blocking_metrics",
     "pair_metrics",
