@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.similarity import jaro_winkler
 from larkspur.operators import bounds, measures, pairs, products
 from larkspur.operators import blocking as B
+from larkspur.plans import data
 from larkspur.plans.catalogue import QUERIES
 from tests.conftest import SMALL, assert_same
 from tests.test_bounds import BLOCKERS, odd_records
@@ -61,3 +62,31 @@ def test_letters_beyond_the_held_ones_are_common():
     one = bounds.Strings(pa.array(["a" * 130 + "zzz"]), 4)
     two = bounds.Strings(pa.array(["zzz"]), 4)
     assert one.common(np.array([0]), two, np.array([0])).tolist() == [3]
+
+
+def test_gbt_scorer_counts_all_pairs(spark, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("pairs are joined to records")
+
+    monkeypatch.setattr(pairs, "pair_features", never)
+    made = QUERIES["gbt_scorer"](spark, SMALL)
+    monkeypatch.undo()
+    rows = pairs.label_pairs(made, data.truth(spark, SMALL)).toPandas()
+    assert len(rows) == QUERIES["rule_score"](spark, SMALL).count()
+    true, other = rows[rows.label == 1].score, rows[rows.label == 0].score
+    assert len(true) and true.min() > 0.5 and (other < 0.5).mean() > 0.95
+
+
+def test_counts_are_those_of_labelled_pairs(spark):
+    rec = odd_records(spark).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    highest = {"name_edit_sim": 1.0, "addr_token_jaccard": 1.0, "block_count": 3.0}
+    every = ref.selectExpr("entity_id AS s1_id").distinct().join(tgt.selectExpr("entity_id AS candidate_id").distinct(), F.lit(True))
+    truth = every.filter("hash(s1_id, candidate_id) % 7 = 0").groupBy("s1_id").agg(F.collect_set("candidate_id").alias("truth"))
+    rows = pairs.label_pairs(B.featured(ref, tgt, BLOCKERS, pairs.PROVENANCE, tuple(highest)), truth).toPandas()
+    codes = products.cells({n: rows[n].to_numpy() for n in highest}, highest)
+    want = {}
+    for code, label in zip(codes.tolist(), rows.label.tolist(), strict=True):
+        want[code, label] = want.get((code, label), 0) + 1
+    got = products.pair_cells(ref, tgt, B._bags(BLOCKERS), tuple(sorted(BLOCKERS)), highest, truth, 8, 11).collect()
+    assert {(r.code, r.label): r.n for r in got} == want and any(y for _, y in want)
