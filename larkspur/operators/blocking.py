@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from larkspur.functions.similarity import _pairwise, sequence_ratio, weighted_ratio
 from larkspur.functions.vectors import char_wb_grams, cosine_top_k, word_grams
 from larkspur.operators.bounds import Floor
-from larkspur.operators.products import Bag, _side, pair_cells, pair_count, pair_features, pair_lists, pair_scores, pair_values, shared_counts
+from larkspur.operators.products import (
+    Bag, _side, id_lists, pair_best, pair_cells, pair_count, pair_features, pair_lists, pair_scores, pair_tallies, pair_values, shared_counts,
+)
 
 # Words that block too much.
 NAME_STOPWORDS = (
@@ -275,6 +277,21 @@ def valued(ref: DataFrame, targets: DataFrame, blockers: list[str], highest: dic
     return pair_values(ref, targets, _bags(blockers), tuple(sorted(set(blockers))), highest, bins, known, values)
 
 
+def steps(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor, grid: tuple[float, ...], digits: int) -> DataFrame:
+    """(s1_id, step, n) of ``products.pair_tallies`` for the union's pairs."""
+    return pair_tallies(ref, targets, _bags(blockers), floor, grid, digits)
+
+
+def best(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor, digits: int) -> DataFrame:
+    """(s1_id, candidate_id, score) of ``products.pair_best`` for the union's pairs."""
+    return pair_best(ref, targets, _bags(blockers), floor, digits)
+
+
+def listed(ref: DataFrame, targets: DataFrame, blockers: list[str]) -> DataFrame:
+    """(s1_id, ids) of ``products.id_lists`` for the union's pairs."""
+    return id_lists(ref, targets, _bags(blockers))
+
+
 def total(ref: DataFrame, targets: DataFrame, blockers: list[str], records: bool = False) -> DataFrame:
     """(total_candidates): the size of the union, whose pairs (of ids or of records) are counted where they are found."""
     return pair_count(ref, targets, _bags(blockers), records).select(F.col("pairs").alias("total_candidates"))

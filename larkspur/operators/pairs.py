@@ -312,6 +312,37 @@ def threshold_grid(scored: DataFrame, truth: DataFrame, low: float = 0.10, high:
     return full.groupBy("threshold").agg(F.avg(f05_of(F.col("t"), F.col("p"), F.col("tp"))).alias("macro_f05"))
 
 
+def threshold_steps(low: float = 0.10, high: float = 0.95, step: float = 0.01) -> tuple[float, ...]:
+    return tuple(round(low + k * step, 4) for k in range(round((high - low) / step) + 1))
+
+
+def threshold_sums(steps: tuple[float, ...], tallies: DataFrame, best: DataFrame, hits: DataFrame, truth: DataFrame) -> DataFrame:
+    """``threshold_grid`` without its pairs.
+
+    tallies (s1_id, step, n): pairs of 0.5 or more by the last of steps that they reach; best (s1_id, candidate_id, score): the
+    best pair of each record that has none of those; hits (s1_id, candidate_id, score): the candidates that are true.
+    """
+    spark = truth.sparkSession
+    last = F.lit(-1)
+    for k, t in enumerate(steps):
+        last = F.when(F.col("score") >= t, k).otherwise(last)
+    right = hits.filter("score >= 0.5").select("s1_id", last.alias("step"), F.lit(0).cast("long").alias("p"), F.lit(1).cast("long").alias("tp"))
+    true = truth.select("s1_id", F.explode("truth").alias("candidate_id"), F.lit(1).alias("hit"))
+    alone = best.join(true, ["s1_id", "candidate_id"], "left")
+    alone = alone.select("s1_id", last.alias("step"), F.lit(1).cast("long").alias("p"), F.coalesce("hit", F.lit(0)).cast("long").alias("tp"))
+    found = tallies.select("s1_id", "step", F.col("n").alias("p"), F.lit(0).cast("long").alias("tp")).unionByName(right).unionByName(alone)
+    per = found.filter("step >= 0").groupBy("s1_id", "step").agg(F.sum("p").alias("p"), F.sum("tp").alias("tp"))
+    lists = per.groupBy("s1_id").agg(F.collect_list(F.struct("step", "p", "tp")).alias("found"))
+    grid = F.broadcast(spark.createDataFrame([(k, t) for k, t in enumerate(steps)], "k int, threshold double"))
+
+    def total(field: str) -> Column:
+        counted = F.aggregate("found", F.lit(0).cast("long"), lambda s, x: s + F.when(x["step"] >= F.col("k"), x[field]).otherwise(0))
+        return F.coalesce(counted, F.lit(0))
+
+    full = truth.select("s1_id", F.size("truth").alias("t")).join(lists, "s1_id", "left").join(grid, F.lit(True))
+    return full.groupBy("threshold").agg(F.avg(f05_of(F.col("t"), total("p"), total("tp"))).alias("macro_f05"))
+
+
 def optimize_threshold(scored: DataFrame, truth: DataFrame) -> tuple[float, float]:
     """The lowest threshold of the best macro F0.5; (0.5, 0.0) if nothing beats 0."""
     best = threshold_grid(scored, truth).orderBy(F.desc(F.round("macro_f05", 12)), "threshold").first()

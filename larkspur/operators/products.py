@@ -23,6 +23,8 @@ from larkspur.operators.measures import Wide, columns, measures, rounded
 
 #: Records of a chunk: references of one are streamed, targets of one are held by a task.
 REF_ROWS, TARGET_ROWS, OUT_ROWS = 16_384, 65_536, 100_000
+#: References of a chunk whose whole lists are held.
+LIST_ROWS = 4_096
 #: Groups that a small product is dealt into nevertheless, of that many references or more each.
 GROUPS, LEAST_ROWS = 12, 1_024
 
@@ -312,6 +314,127 @@ def pair_lists(
     return _product(ref, tgt, bags, sketch(), run, schema, ref_rows, target_rows)
 
 
+def pair_tallies(
+    ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, steps: tuple[float, ...], digits: int, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS,
+) -> DataFrame:
+    """(s1_id, step, n): how many pairs of a reference reach each of steps (rising) and not the next one, by rounded scores; several rows for each."""
+    arrow = pa.schema([("s1_id", pa.string()), ("step", pa.int32()), ("n", pa.int64())])
+    least = tuple(x.least for x in bags)
+
+    def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
+        for rows, _, scores in _scored(refs, targets, least, floor):
+            step = np.searchsorted(steps, rounded(scores, digits), side="right") - 1
+            keys, n = np.unique((rows * len(steps) + step)[step >= 0], return_counts=True)
+            one = refs["id"].take(pa.array(keys // len(steps)))
+            yield pa.RecordBatch.from_arrays([one, pa.array((keys % len(steps)).astype(np.int32)), pa.array(n.astype(np.int64))], schema=arrow)
+
+    return _product(ref, tgt, bags, sketch(), run, "s1_id string, step int, n long", ref_rows, target_rows)
+
+
+def pair_best(ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, digits: int, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(s1_id, candidate_id, score): the best pair of each reference by rounded score, then by id; one row for each chunk of targets."""
+    arrow = pa.schema([("s1_id", pa.string()), ("candidate_id", pa.string()), ("score", pa.float64())])
+    least = tuple(x.least for x in bags)
+
+    def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
+        place = np.empty(targets.size, dtype=np.int64)
+        place[pc.sort_indices(targets.ids).to_numpy()] = np.arange(targets.size)
+        for rows, at, scores in _scored(refs, targets, least, floor):
+            scores = rounded(scores, digits)
+            order = np.lexsort((place[at], -scores, rows))
+            first = order[np.flatnonzero(np.diff(rows[order], prepend=-1))]
+            ids = refs["id"].take(pa.array(rows[first])), targets.ids.take(pa.array(at[first]))
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(scores[first])], schema=arrow)
+
+    return _product(ref, tgt, bags, sketch(), run, "s1_id string, candidate_id string, score double", ref_rows, target_rows)
+
+
+def id_lists(ref: DataFrame, tgt: DataFrame, bags: list[Bag], ref_rows: int = LIST_ROWS, block_rows: int = TARGET_ROWS) -> DataFrame:
+    """(s1_id, ids): the sorted ids that each reference is paired with, joined by commas; empty where there are none.
+
+    A group is a chunk of references with all targets, which stream past it by their ids, so that no pair is moved.  Pairs are
+    held as two bytes each within their block of targets, or as one bit for each pair of records where that is less.
+    """
+    source, kind = F.lit(None).cast(dict(tgt.dtypes)["source"]), pa.schema([("s1_id", pa.string()), ("ids", pa.string())])
+    a = _side(ref, {"id": "entity_id"}, [b.ref for b in bags]).withColumn("source", source)
+    b = _side(tgt, {"id": "entity_id"}, [b.tgt for b in bags]).withColumn("source", source)
+    refs = ref.count()
+    across, least = max(1, -(-refs // ref_rows), min(GROUPS, refs // LEAST_ROWS)), tuple(x.least for x in bags)
+    a = a.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(across)).cast("int")).withColumn("late", F.lit(False))
+    b = b.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(across - 1)))).withColumn("late", F.lit(True))
+    rows = a.unionByName(b).repartition(across, "g").sortWithinPartitions("g", "late", "id")
+    count = len(bags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, mine = None, None
+        for whole in batches:
+            groups, late = whole["g"].to_numpy(), whole["late"].to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((groups[1:] != groups[:-1]) | (late[1:] != late[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(groups)], strict=True):
+                if start == end:
+                    continue
+                if groups[start] != group:
+                    if mine:
+                        yield from mine.lists(kind)
+                    group, mine = groups[start], _Lists(count, least, block_rows)
+                mine.add(whole.slice(start, end - start), bool(late[start]))
+        if mine:
+            yield from mine.lists(kind)
+
+    return rows.mapInArrow(run, "s1_id string, ids string")
+
+
+class _Lists:
+    """The references of a group, and which targets each of them is paired with, block by block."""
+
+    def __init__(self, bags: int, least: tuple[int, ...], block_rows: int) -> None:
+        self.bags, self.least, self.block_rows = bags, least, block_rows
+        self.held, self.refs, self.blocks = [], None, []
+
+    def add(self, part: pa.RecordBatch, late: bool) -> None:
+        if not late:
+            self.held.append(part)
+            return
+        if self.refs is None and self.held:
+            self.refs = _Targets(pa.Table.from_batches(self.held), self.bags)
+        for start in range(0, len(part) if self.refs else 0, self.block_rows):
+            self._block(part.slice(start, self.block_rows))
+
+    def _block(self, part: pa.RecordBatch) -> None:
+        size, n = self.refs.size, len(part)
+        found = [(at, rows) for rows, at in _found(part, self.refs, self.least)]
+        refs, rows = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        order = np.argsort(refs, kind="stable")  # targets stay in the order of their ids
+        ends, rows = np.cumsum(np.bincount(refs, minlength=size)), rows[order].astype(np.uint16)
+        if 2 * len(rows) > size * n // 8:
+            bits = np.zeros((size, -(-n // 8)), dtype=np.uint8)
+            for r, (start, end) in enumerate(zip(np.append(0, ends[:-1]), ends, strict=True)):
+                flags = np.zeros(n, dtype=bool)
+                flags[rows[start:end]] = True
+                bits[r] = np.packbits(flags)
+            self.blocks.append((part["id"], None, bits))
+        elif len(rows):
+            self.blocks.append((part["id"], ends, rows))
+
+    def lists(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.refs is None:
+            ids = pa.concat_arrays([p["id"] for p in self.held]) if self.held else pa.array([], pa.string())
+            yield pa.RecordBatch.from_arrays([ids, pa.array([""] * len(ids), pa.string())], schema=schema)
+            return
+        made, size, start = [], 0, 0
+        for r in range(self.refs.size):
+            parts = []
+            for ids, ends, rows in self.blocks:
+                own = np.flatnonzero(np.unpackbits(rows[r], count=len(ids))) if ends is None else rows[ends[r - 1] if r else 0 : ends[r]]
+                if len(own):
+                    parts.extend(ids.take(pa.array(own)).to_pylist())
+            made.append(",".join(parts))
+            size += len(parts)
+            if size >= OUT_ROWS or r == self.refs.size - 1:
+                yield pa.RecordBatch.from_arrays([self.refs.ids.slice(start, len(made)), pa.array(made, pa.string())], schema=schema)
+                made, size, start = [], 0, r + 1
+
+
 def pair_count(ref: DataFrame, tgt: DataFrame, bags: list[Bag], records: bool = False, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
     """(pairs): one row with the number of those pairs, of ids or of records."""
     arrow, least = pa.schema([("pairs", pa.int64())]), tuple(x.least for x in bags)

@@ -10,10 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.functions.similarity import jaro_winkler
-from larkspur.operators import bounds, measures, pairs, products
+from larkspur.operators import bounds, measures, pairs, products, submission
 from larkspur.operators import blocking as B
 from larkspur.plans import data
-from larkspur.plans.catalogue import QUERIES
+from larkspur.plans.catalogue import ORACLES, QUERIES
 from tests.conftest import SMALL, assert_same
 from tests.test_bounds import BLOCKERS, odd_records
 
@@ -90,3 +90,47 @@ def test_counts_are_those_of_labelled_pairs(spark):
         want[code, label] = want.get((code, label), 0) + 1
     got = products.pair_cells(ref, tgt, B._bags(BLOCKERS), tuple(sorted(BLOCKERS)), highest, truth, 8, 11).collect()
     assert {(r.code, r.label): r.n for r in got} == want and any(y for _, y in want)
+
+
+@pytest.mark.parametrize("name", ["threshold_grid", "candidate_pairs"])
+def test_decisions_do_not_make_pairs(spark, duck, name, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("all candidate pairs are made and moved")
+
+    monkeypatch.setattr(products, "shared_counts", never)
+    monkeypatch.setattr(products, "pair_features", never)
+    monkeypatch.setattr(products, "pair_scores", never)
+    for module in (B,):
+        for f in ("shared_counts", "pair_features", "pair_scores"):
+            monkeypatch.setattr(module, f, never)
+    assert_same(QUERIES[name](spark, SMALL).toPandas(), duck.sql(ORACLES[name]).df())
+
+
+def test_grid_is_that_of_all_scores(spark):
+    rec = odd_records(spark).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    scored = B.strong(ref, tgt, BLOCKERS, pairs.rule_floor(0.0)).withColumn("score", F.round("score", 6)).cache()
+    every = ref.selectExpr("entity_id AS s1_id").distinct()
+    truth = scored.filter("hash(candidate_id) % 5 = 0").groupBy("s1_id").agg(F.collect_set("candidate_id").alias("truth"))
+    truth = every.join(truth, "s1_id", "left").withColumn("truth", F.coalesce("truth", F.array().cast("array<string>")))
+    want = pairs.threshold_grid(scored, truth)
+    steps = pairs.threshold_steps()
+    over = tuple(t for t in steps if t >= 0.5)
+    tallies = products.pair_tallies(ref, tgt, B._bags(BLOCKERS), pairs.rule_floor(0.5), over, 6, 8, 11).withColumn("step", F.col("step") + len(steps) - len(over))
+    rest = ref.join(tallies.selectExpr("s1_id AS entity_id").distinct(), "entity_id", "left_anti")
+    best = products.pair_best(rest, tgt, B._bags(BLOCKERS), pairs.rule_floor(0.1), 6, 8, 11)
+    best = best.groupBy("s1_id").agg(F.min(F.struct((-F.col("score")).alias("o"), "candidate_id", "score")).alias("b")).select("s1_id", "b.candidate_id", "b.score")
+    assert best.count() > 0 and tallies.count() > 0
+    hits = scored.join(truth.select("s1_id", F.explode("truth").alias("candidate_id")), ["s1_id", "candidate_id"])
+    assert_same(pairs.threshold_sums(steps, tallies, best, hits, truth).toPandas(), want.toPandas())
+
+
+@pytest.mark.parametrize("blocks", [(5, 3), (40, 65_536)])
+def test_lists_hold_all_candidates(spark, blocks):
+    rec = odd_records(spark).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    want = submission.candidate_pairs(B.generate(ref, tgt, BLOCKERS).frame, ref.selectExpr("entity_id AS s1_id"))
+    got = products.id_lists(ref, tgt, B._bags(BLOCKERS), *blocks)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    alone = products.id_lists(ref, tgt.filter("false"), B._bags(BLOCKERS), *blocks)
+    assert {r.ids for r in alone.collect()} == {""} and alone.count() == got.count()
