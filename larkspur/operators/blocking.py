@@ -18,7 +18,7 @@ from larkspur.functions.similarity import _pairwise, sequence_ratio, weighted_ra
 from larkspur.functions.vectors import char_wb_grams, cosine_top_k, word_grams
 from larkspur.operators.bounds import Floor
 from larkspur.operators.products import (
-    Bag, _side, id_lists, pair_best, pair_cells, pair_count, pair_features, pair_lists, pair_scores, pair_tallies, pair_values, shared_counts,
+    Bag, _side, id_lists, pair_best, pair_cells, pair_count, pair_features, pair_lists, pair_negatives, pair_scores, pair_tallies, pair_values, shared_counts,
 )
 
 # Words that block too much.
@@ -292,6 +292,11 @@ def listed(ref: DataFrame, targets: DataFrame, blockers: list[str]) -> DataFrame
     return id_lists(ref, targets, _bags(blockers))
 
 
+def negatives(ref: DataFrame, targets: DataFrame, blockers: list[str], truth: DataFrame, seed: int = 42) -> DataFrame:
+    """(s1_id, candidate_id) of ``products.pair_negatives`` for the union's pairs."""
+    return pair_negatives(ref, targets, _bags(blockers), tuple(sorted(set(blockers))), truth, seed)
+
+
 def total(ref: DataFrame, targets: DataFrame, blockers: list[str], records: bool = False) -> DataFrame:
     """(total_candidates): the size of the union, whose pairs (of ids or of records) are counted where they are found."""
     return pair_count(ref, targets, _bags(blockers), records).select(F.col("pairs").alias("total_candidates"))

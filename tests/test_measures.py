@@ -134,3 +134,28 @@ def test_lists_hold_all_candidates(spark, blocks):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     alone = products.id_lists(ref, tgt.filter("false"), B._bags(BLOCKERS), *blocks)
     assert {r.ids for r in alone.collect()} == {""} and alone.count() == got.count()
+
+
+def test_hard_negatives_are_those_of_all_pairs(spark, monkeypatch):
+    rec = odd_records(spark).dropDuplicates(["entity_id"]).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    found = B.generate(ref, tgt, BLOCKERS).frame.select("s1_id", "candidate_id").cache()
+    truth = found.filter("hash(s1_id, candidate_id) % 9 = 0").groupBy("s1_id").agg(F.collect_set("candidate_id").alias("truth"))
+    truth = ref.selectExpr("entity_id AS s1_id").join(truth, "s1_id", "left").withColumn("truth", F.coalesce("truth", F.array().cast("array<string>"))).cache()
+    names = ("name_edit_sim",)
+    want = pairs.hard_negatives(pairs.pair_features(found, rec, names), truth)
+    true = truth.select("s1_id", F.explode("truth").alias("candidate_id"))
+    some = products.pair_negatives(ref, tgt, B._bags(BLOCKERS), tuple(sorted(BLOCKERS)), truth, 42, 8, 30).distinct()
+    assert some.count() < found.count() and some.join(true, ["s1_id", "candidate_id"]).isEmpty()
+    got = pairs.hard_negatives(pairs.pair_features(some.unionByName(true), rec, names), truth)
+    assert_same(got.toPandas(), want.toPandas())
+
+
+def test_hard_negatives_do_not_make_all_pairs(spark, duck, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("all candidate pairs are made and moved")
+
+    for module in (products, B):
+        for f in ("shared_counts", "pair_features"):
+            monkeypatch.setattr(module, f, never)
+    assert_same(QUERIES["hard_negatives"](spark, SMALL).toPandas(), duck.sql(ORACLES["hard_negatives"]).df())
