@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larkspur.functions.similarity import _pairwise, sequence_ratio, weighted_ratio
+from larkspur.functions.similarity import sequence_ratio
 from larkspur.functions.vectors import char_wb_grams, cosine_top_k, word_grams
 from larkspur.operators.bounds import Floor
+from larkspur.operators.fuzzy import best_names
 from larkspur.operators.products import (
     Bag, _side, id_lists, pair_best, pair_cells, pair_count, pair_features, pair_lists, pair_negatives, pair_scores, pair_tallies, pair_values, shared_counts,
 )
@@ -132,19 +133,18 @@ def _cosine(ref: DataFrame, tgt: DataFrame, terms: Column, top_k: int, min_score
 
 
 def fuzzy_top_k(ref: DataFrame, tgt: DataFrame, top_k: int = 20, min_score: float = 60.0, variant: str = "installed") -> DataFrame:
-    """Best scoring target names for each reference name.  A theta join: meant for small inputs.
+    """The best top_k target records of each reference record and source by the names' weighted ratio, of those with min_score or more.
 
-    Distinct names are scored once, not records.
+    Distinct names are scored once, not records, in a product of chunks; of a name's records only the first top_k can count.
     """
-    kernel = sequence_ratio if variant == "fallback" else weighted_ratio
-    names = ref.filter("name_norm <> ''").select(F.col("name_norm").alias("a")).distinct()
-    others = tgt.filter("name_norm <> ''").select(F.col("name_norm").alias("b")).distinct()
-    scored = names.join(others, F.lit(True)).select("a", "b", _pairwise(kernel, True)("a", "b").alias("score"))
-    scored = scored.filter(F.col("score") * 100 >= min_score)
-    a = ref.select(F.col("entity_id").alias("s1_id"), F.col("name_norm").alias("a"))
-    b = tgt.select(F.col("entity_id").alias("candidate_id"), F.col("source").alias("candidate_source"), F.col("name_norm").alias("b"))
+    a = ref.filter("name_norm <> ''").select(F.col("entity_id").alias("s1_id"), F.col("name_norm").alias("a"))
+    b = tgt.filter("name_norm <> ''").select(F.col("entity_id").alias("id"), F.col("source").alias("part"), F.col("name_norm").alias("b"))
+    scored = best_names(a, b, top_k, min_score, sequence_ratio if variant == "fallback" else None)
+    first = b.withColumn("rank", F.row_number().over(W.partitionBy("part", "b").orderBy("id"))).filter(F.col("rank") <= top_k)
+    first = first.select(F.col("id").alias("candidate_id"), F.col("part").alias("candidate_source"), F.col("b").alias("name"))
+    found = scored.join(first, F.col("part").eqNullSafe(F.col("candidate_source")) & (F.col("b") == F.col("name")))
     best = W.partitionBy("s1_id", "candidate_source").orderBy(F.desc("score"), "candidate_id")
-    pairs = a.join(scored, "a").join(b, "b").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
+    pairs = a.join(found, "a").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
     return _result(pairs, "fuzzy_topk", F.col("score"))
 
 
