@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import pairs, production, submission
+from larkspur.operators import blocking, pairs, production, submission
 from larkspur.operators.blocking import CandidateSet, generate
 from larkspur.plans import data
 from larkspur.sources import records
@@ -216,3 +216,15 @@ def test_candidates_are_not_moved(spark):
     plan = found.table()._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("MapInArrow")]
     assert "Join" not in above and "Aggregate" not in above
+
+
+def test_a_key_of_many_records_is_dealt_over_tasks(spark):
+    """One country holds nearly all records: its pairs come from several tasks, each pair of records once."""
+    rows = [(f"S{1 + k % 3}-{k:04d}", 1 + k % 3, {7: "fr", 8: "", 9: None}.get(k, "en")) for k in range(300)] + [("S1-0000", 1, "en"), ("S2-0001", 2, "en")]
+    rec = spark.createDataFrame(rows, "entity_id string, source int, country_norm string")
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    made = blocking.dealt_key(ref, tgt, "country", F.col("country_norm"), 20, 30)
+    want = blocking.equal_key(ref, tgt, "country", [F.col("country_norm")], [F.col("country_norm")])
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, want.collect())) == sorted(map(tuple, blocking.country(ref, tgt).collect()))
+    tasks = made.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 10 and max(r["count"] for r in tasks) < made.count() / 4
