@@ -271,9 +271,9 @@ def _bags(blockers: list[str]) -> list[Bag]:
     return [TOGETHER[BLOCKERS[name]]()[0] for name in sorted(set(blockers))]
 
 
-def strong(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor) -> DataFrame:
+def strong(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor, digits: int | None = None) -> DataFrame:
     """(s1_id, candidate_id, score) of the union's pairs with a rule score of the floor or more (or less by rounding); no other pair is made."""
-    return pair_scores(ref, targets, _bags(blockers), floor)
+    return pair_scores(ref, targets, _bags(blockers), floor, digits)
 
 
 def strong_lists(ref: DataFrame, targets: DataFrame, blockers: list[str], floor: Floor, sure: float, ids: bool = True) -> DataFrame:

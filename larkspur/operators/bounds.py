@@ -128,8 +128,7 @@ def distances(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray) -> np.nd
     odd = a.odd[rows] | b.odd[at]
     for wide in (False, True):
         left = np.flatnonzero(~odd & ((a.length[rows] > WORD) == wide))
-        for start in range(0, len(left), LANES):
-            part = left[start : start + LANES]
+        for part in _longest_first(left, b.length[at[left]]):
             out[part] = _lanes(a, rows[part], b, at[part], 2 if wide else 1)
     seen: dict[tuple[str, str], int] = {}
     for k in np.flatnonzero(odd):
@@ -140,29 +139,62 @@ def distances(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray) -> np.nd
     return out
 
 
+def _longest_first(places: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """LANES places at a time, of falling lengths: those of one step are always the first ones."""
+    places = places[np.argsort((HELD - length).astype(np.uint8), kind="stable")]
+    return [places[start : start + LANES] for start in range(0, len(places), LANES)]
+
+
+def _live(length: np.ndarray) -> np.ndarray:
+    """For each step the number of lanes that it reaches; lengths fall."""
+    steps = np.arange(int(length[0]) if len(length) else 0)
+    return len(length) - np.searchsorted(length[::-1], steps, side="right")
+
+
 def _lanes(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray, words: int) -> np.ndarray:
-    """Myers' bit vectors, one pair a lane; patterns of several words hand their carries on."""
-    m, n = a.length[rows], b.length[at]
+    """Myers' bit vectors, one pair a lane, targets' lengths falling; patterns of several words hand their carries on.
+
+    A lane stays as its last step left it: its vertical differences add up to the distance.
+    """
+    m, n, size = a.length[rows], b.length[at], len(rows)
     one, last = np.uint64(1), np.uint64(WORD - 1)
-    top = (np.maximum(m, 1) - 1 - WORD * (words - 1)).astype(np.uint64)
-    up, down = [np.full(len(rows), ~np.uint64(0)) for _ in range(words)], [np.zeros(len(rows), dtype=np.uint64) for _ in range(words)]
-    out, base = m.copy(), rows * (POINTS + 1)
-    for k in range(int(n.max(initial=0))):
-        place = base + b.points[k][at]
-        more, less = one, np.uint64(0)
+    up, down = [np.full(size, ~np.uint64(0)) for _ in range(words)], [np.zeros(size, dtype=np.uint64) for _ in range(words)]
+    base, place_, (eq_, xv_, xh_, ph_) = rows * (POINTS + 1), np.empty(size, dtype=np.int64), np.empty((4, size), dtype=np.uint64)
+    for k, live in enumerate(_live(n)):
+        place, eq, xv, xh, ph = place_[:live], eq_[:live], xv_[:live], xh_[:live], ph_[:live]
+        np.add(base[:live], b.points[k].take(at[:live]), out=place)
+        more, less = one, None
         for w in range(words):
-            eq = a.patterns[w].take(place)
-            xv = eq | down[w]
-            eq |= less
-            xh = (((eq & up[w]) + up[w]) ^ up[w]) | eq
-            ph, mh = down[w] | ~(xh | up[w]), up[w] & xh
-            bit = last if w < words - 1 else top
-            out_more, out_less = (ph >> bit) & one, (mh >> bit) & one
-            ph, mh = ph << one | more, mh << one | less
-            up[w], down[w] = mh | ~(xv | ph), ph & xv
-            more, less = out_more, out_less
-        out += (k < n) * (more.astype(np.int32) - less.astype(np.int32))
-    return np.where(m == 0, n, out)
+            vp, vm = up[w][:live], down[w][:live]
+            a.patterns[w].take(place, out=eq, mode="clip")
+            np.bitwise_or(eq, vm, out=xv)
+            if less is not None:
+                np.bitwise_or(eq, less, out=eq)
+            np.bitwise_and(eq, vp, out=xh)
+            np.add(xh, vp, out=xh)
+            np.bitwise_xor(xh, vp, out=xh)
+            np.bitwise_or(xh, eq, out=xh)
+            np.bitwise_or(xh, vp, out=ph)
+            np.invert(ph, out=ph)
+            np.bitwise_or(ph, vm, out=ph)
+            mh = np.bitwise_and(xh, vp, out=xh)
+            carry = (ph >> last, mh >> last) if w < words - 1 else (None, None)
+            np.left_shift(ph, one, out=ph)
+            np.bitwise_or(ph, more, out=ph)
+            np.left_shift(mh, one, out=mh)
+            if less is not None:
+                np.bitwise_or(mh, less, out=mh)
+            np.bitwise_and(ph, xv, out=vm)
+            np.bitwise_or(xv, ph, out=xv)
+            np.invert(xv, out=xv)
+            np.bitwise_or(xv, mh, out=vp)
+            more, less = carry
+    out = n.copy()
+    for w in range(words):
+        held = np.clip(m - WORD * w, 0, WORD).astype(np.uint64)
+        full = np.where(held > 0, ~np.uint64(0) >> (np.uint64(WORD) - np.maximum(held, one)), np.uint64(0))
+        out += np.bitwise_count(up[w] & full).astype(np.int32) - np.bitwise_count(down[w] & full).astype(np.int32)
+    return out
 
 
 class Sets:
@@ -212,6 +244,27 @@ class Sets:
         return _share(common, n + m - common)
 
 
+#: Cells of a table that pairs of codes are looked up in; more of them are sorted.
+TABLE = 1 << 24
+
+
+def distinct(x: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct pair of codes, rising, and which of these each pair is; width: over every y."""
+    if not len(x):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys = (x - x.min()) * np.int64(width) + y
+    size = int(keys.max()) + 1
+    if size <= TABLE:
+        table = np.empty(size, dtype=np.int32)  # read where it was written only
+        table[keys] = np.arange(len(keys), dtype=np.int32)
+        mine = table[keys]
+    else:
+        _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        mine = first[back]
+    own = mine == np.arange(len(keys))
+    return np.flatnonzero(own), (np.cumsum(own) - 1)[mine]
+
+
 def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """part / whole; 1 where both sides are empty."""
     return np.where(whole > 0, part / np.maximum(whole, 1), 1.0)
@@ -223,14 +276,22 @@ class Records:
     def __init__(self, table: pa.Table | pa.RecordBatch, targets: Records | None = None) -> None:
         self.text = {f: Strings(_column(table, f), LEVELS[f]) for f in LEVELS}
         self.sets = {f: Sets(_column(table, f"{f}_tokens"), targets and targets.sets[f].words) for f in LEVELS}
-        self.codes, self.words = {}, {}
+        self.codes, self.words, self.own, self.count = {}, {}, {}, {}
         for f in (*FLAGS, *LEVELS):
             values = _column(table, f)
             self.words[f] = targets.words[f] if targets else values.unique()
             self.codes[f] = pc.fill_null(pc.index_in(values, value_set=self.words[f]), -1).to_numpy(zero_copy_only=False)
+            if f in LEVELS:
+                coded = values.dictionary_encode()
+                self.own[f], self.count[f] = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
             if f == "postal":
                 self.codes[f] = np.where(pc.equal(values, "").to_numpy(zero_copy_only=False), -1, self.codes[f])
 
+    def once(self, rows: np.ndarray, other: Records, at: np.ndarray, field: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of each side for every distinct pair of texts, and which of these each pair has."""
+        first, back = distinct(self.own[field][rows], other.own[field][at], other.count[field])
+        return rows[first], at[first], back
+
 
 @dataclass(frozen=True)
 class Floor:
@@ -248,7 +309,7 @@ class Floor:
         tokens, places = a.sets["name"].most(rows, b.sets["name"], at), a.sets["address"].most(rows, b.sets["address"], at)
         fixed = w["name_token_jaccard"] * tokens + w["addr_token_jaccard"] * places
         for f, weight in FLAGS.items():
-            fixed += w[weight] * self._equal(a, rows, b, at, f)
+            fixed += w[weight] * equal(a, rows, b, at, f)
         # Jaro counts at most the common characters; up to four first ones add
         jaro = np.where(common > 0, (common / np.maximum(n, 1) + common / np.maximum(m, 1) + 1) / 3, (n + m == 0) * 1.0)
         address, far = a.text["address"], b.text["address"]
@@ -267,11 +328,6 @@ class Floor:
         keep = np.flatnonzero(self.total(parts) >= self.least - SLACK)
         return left[keep], {k: v[keep] for k, v in parts.items()}
 
-    @staticmethod
-    def _equal(a: Records, rows: np.ndarray, b: Records, at: np.ndarray, field: str) -> np.ndarray:
-        mine = a.codes[field][rows]
-        return (mine >= 0) & (mine == b.codes[field][at])
-
     def total(self, parts: dict[str, np.ndarray]) -> np.ndarray:
         w = dict(self.weights)
         most = np.maximum(np.maximum(parts["name"], parts["address"]), parts["most"])
@@ -280,23 +336,25 @@ class Floor:
 
     def scores(self, a: Records, rows: np.ndarray, b: Records, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the pairs that reach the floor, and their scores."""
-        left, parts = self.likely(a, rows, b, at)
-        for field in ("name", "address"):
-            x, y, r, c = a.text[field], b.text[field], rows[left], at[left]
-            longest, apart = np.maximum(x.length[r], y.length[c]), np.zeros(len(left), dtype=np.int32)
-            other = np.flatnonzero(~self._equal(a, r, b, c, field))
-            apart[other] = distances(x, r[other], y, c[other])
-            parts = parts | {field: np.where(longest > 0, 1 - apart / np.maximum(longest, 1), 1.0)}
-            keep = np.flatnonzero(self.total(parts) >= self.least - SLACK)
-            left, parts = left[keep], {k: v[keep] for k, v in parts.items()}
+        left, edits = np.arange(len(rows)), {}
+        if self.least > SLACK:
+            left, parts = self.likely(a, rows, b, at)
+            for field in LEVELS:
+                r, c, back = a.once(rows[left], b, at[left], field)
+                parts = parts | {field: edits_of(a, r, b, c, field)[back]}
+                keep = np.flatnonzero(self.total(parts) >= self.least - SLACK)
+                left, parts = left[keep], {k: v[keep] for k, v in parts.items()}
+            edits = {f: parts[f] for f in LEVELS}
         rows, at = rows[left], at[left]
-        made = {
-            "name_edit_sim": parts["name"], "name_jaro_winkler": jaro_winklers(a.text["name"], rows, b.text["name"], at, parts["name"] >= 1),
-            "name_token_jaccard": a.sets["name"].jaccard(rows, b.sets["name"], at), "addr_edit_sim": parts["address"],
-            "addr_token_jaccard": a.sets["address"].jaccard(rows, b.sets["address"], at),
-        }
+        made = {}
+        for field, short in (("name", "name"), ("address", "addr")):
+            r, c, back = a.once(rows, b, at, field)
+            edit = edits_of(a, r, b, c, field)[back] if field not in edits else edits[field]
+            made[f"{short}_edit_sim"], made[f"{short}_token_jaccard"] = edit, a.sets[field].jaccard(r, b.sets[field], c)[back]
+            if field == "name":
+                made["name_jaro_winkler"] = jaro_winklers(a.text[field], r, b.text[field], c, equal(a, r, b, c, field))[back]
         for f, column in FLAGS.items():
-            made[column] = self._equal(a, rows, b, at, f) * 1.0
+            made[column] = equal(a, rows, b, at, f) * 1.0
         made["evidence_strength"] = np.max([made[f] for f in ("name_edit_sim", "addr_edit_sim", "name_token_jaccard", "addr_token_jaccard")], axis=0)
         score = np.zeros(len(rows))
         for feature, weight in self.weights:
@@ -306,13 +364,26 @@ class Floor:
         return left[keep], score[keep]
 
 
+def equal(a: Records, rows: np.ndarray, b: Records, at: np.ndarray, field: str) -> np.ndarray:
+    mine = a.codes[field][rows]
+    return (mine >= 0) & (mine == b.codes[field][at])
+
+
+def edits_of(a: Records, rows: np.ndarray, b: Records, at: np.ndarray, field: str) -> np.ndarray:
+    """Edit similarities of a field."""
+    x, y = a.text[field], b.text[field]
+    longest, apart = np.maximum(x.length[rows], y.length[at]), np.zeros(len(rows), dtype=np.int32)
+    other = np.flatnonzero(~equal(a, rows, b, at, field))
+    apart[other] = distances(x, rows[other], y, at[other])
+    return np.where(longest > 0, 1 - apart / np.maximum(longest, 1), 1.0)
+
+
 def jaro_winklers(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray, same: np.ndarray) -> np.ndarray:
     """``similarity.jaro_winkler`` of pairs of rows, 1 where same; strings without a table one by one, each distinct pair once."""
     out, seen = np.ones(len(rows)), {}
     odd = a.odd[rows] | b.odd[at] | (a.length[rows] > WORD) | (b.length[at] > WORD)
     left = np.flatnonzero(~same & ~odd)
-    for start in range(0, len(left), LANES):
-        part = left[start : start + LANES]
+    for part in _longest_first(left, a.length[rows[left]]):
         out[part] = _jaro_lanes(a, rows[part], b, at[part])
     for k in np.flatnonzero(~same & odd):
         pair = a.text[rows[k]], b.text[at[k]]
@@ -323,26 +394,30 @@ def jaro_winklers(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray, same
 
 
 def _jaro_lanes(a: Strings, rows: np.ndarray, b: Strings, at: np.ndarray) -> np.ndarray:
-    """One pair a lane: each character takes the first free place of its window, as ``similarity.jaro`` does."""
+    """One pair a lane, references' lengths falling: each character takes the first free place of its window, as ``similarity.jaro`` does."""
     n, m = a.length[rows], b.length[at]
     letters, table, width = b.places
     base, one, zero = at * width, np.uint64(1), np.uint64(0)
     reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)
-    window = (one << (reach + 1).astype(np.uint64)) - one
-    used, mine, found = np.zeros(len(rows), dtype=np.uint64), [], []
-    for k in range(int(n.max(initial=0))):
-        at_k = table.take(base + letters[a.points[k][rows]])
-        free = at_k & window & ~used
+    window_ = (one << (reach + 1).astype(np.uint64)) - one
+    used_, lives, mine, found = np.zeros(len(rows), dtype=np.uint64), _live(n), [], []
+    for k, live in enumerate(lives):
+        window, used = window_[:live], used_[:live]
+        at_k = table.take(base[:live] + letters[a.points[k].take(rows[:live])])
+        free = at_k & window
+        free &= ~used
         bit = free & (~free + one)
         used |= bit
         mine.append(bit != zero)
         found.append(at_k)
-        window = window << one | (k < reach)
-    count, rest = np.bitwise_count(used).astype(np.int64), used.copy()
+        np.left_shift(window, one, out=window)
+        window |= k < reach[:live]
+    count, rest_ = np.bitwise_count(used_).astype(np.int64), used_.copy()
     moved = np.zeros(len(rows), dtype=np.int64)
-    for at_k, hit in zip(found, mine, strict=True):
-        bit = np.where(hit, rest & (~rest + one), zero)
-        moved += hit & ((at_k & bit) == zero)
+    for live, at_k, hit in zip(lives, found, mine, strict=True):
+        rest = rest_[:live]
+        bit = (rest & (~rest + one)) * hit
+        moved[:live] += hit & ((at_k & bit) == zero)
         rest ^= bit
     some = np.maximum(count, 1)
     score = (count / np.maximum(n, 1) + count / np.maximum(m, 1) + (count - moved // 2) / some) / 3

@@ -192,13 +192,16 @@ def shared_counts(ref: DataFrame, tgt: DataFrame, bags: list[Bag], ref_rows: int
     return _product(ref, tgt, bags, {}, lambda refs, targets: _pairs(refs, targets, least, arrow), schema, ref_rows, target_rows)
 
 
-def pair_scores(ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS) -> DataFrame:
+def pair_scores(
+    ref: DataFrame, tgt: DataFrame, bags: list[Bag], floor: Floor, digits: int | None = None, ref_rows: int = REF_ROWS, target_rows: int = TARGET_ROWS,
+) -> DataFrame:
     """(s1_id, candidate_id, score) of those pairs whose rule score is the floor or more (or less by a slack of rounding), once for each pair of records."""
     arrow = pa.schema([("s1_id", pa.string()), ("candidate_id", pa.string()), ("score", pa.float64())])
     least = tuple(x.least for x in bags)
 
     def run(refs: pa.RecordBatch, targets: _Targets) -> Iterator[pa.RecordBatch]:
         for rows, at, scores in _scored(refs, targets, least, floor):
+            scores = scores if digits is None else rounded(scores, digits)
             yield pa.RecordBatch.from_arrays([refs["id"].take(pa.array(rows)), targets.ids.take(pa.array(at)), pa.array(scores)], schema=arrow)
 
     return _product(ref, tgt, bags, sketch(), run, "s1_id string, candidate_id string, score double", ref_rows, target_rows)
@@ -518,7 +521,8 @@ def _product(
     b = b.withColumns({"j": theirs, "i": F.explode(F.sequence(F.lit(0), F.lit(across - 1)))})
     rows = b.withColumn("late", F.lit(False)).unionByName(a.withColumn("late", F.lit(True)))
     rows = rows.withColumn("g", F.col("i").cast("int") * down + F.col("j").cast("int")).drop("i", "j")
-    rows = rows.repartition(across * down, "g").sortWithinPartitions("g", "late")
+    # equal names come one after another: pairs of them are compared once
+    rows = rows.repartitionById(across * down, "g").sortWithinPartitions("g", "late", *[c for c in ("name", "address") if c in more])
     count = len(bags)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -159,3 +159,43 @@ def test_hard_negatives_do_not_make_all_pairs(spark, duck, monkeypatch):
         for f in ("shared_counts", "pair_features"):
             monkeypatch.setattr(module, f, never)
     assert_same(QUERIES["hard_negatives"](spark, SMALL).toPandas(), duck.sql(ORACLES["hard_negatives"]).df())
+
+
+def compared(monkeypatch, module) -> list:
+    """The pairs whose edit distances are asked for from now on."""
+    seen, plain = [], bounds.distances
+
+    def counted(a, rows, b, at):
+        seen.extend((a.text[r], b.text[t]) for r, t in zip(rows, at, strict=True))
+        return plain(a, rows, b, at)
+
+    monkeypatch.setattr(module, "distances", counted)
+    return seen
+
+
+def repeated(spark, columns) -> tuple[pa.Table, pa.Table]:
+    rec = odd_records(spark)
+    rec = rec.unionByName(rec).select(*[c.alias(n) for n, c in columns.items()], "source").sort("name", "address").cache()
+    return rec.filter("source = 1").toArrow(), rec.filter("source > 1").toArrow()
+
+
+@pytest.mark.parametrize("table", [bounds.TABLE if hasattr(bounds, "TABLE") else 0, 0])
+def test_scores_compare_distinct_texts_once(spark, monkeypatch, table):
+    monkeypatch.setattr(bounds, "TABLE", table, raising=False)
+    seen = compared(monkeypatch, bounds)
+    ref, tgt = repeated(spark, bounds.sketch())
+    targets = bounds.Records(tgt)
+    rows, at = (x.ravel() for x in np.meshgrid(np.arange(len(ref)), np.arange(len(tgt)), indexing="ij"))
+    records = bounds.Records(ref, targets)
+    left, scores = pairs.rule_floor(0.0).scores(records, rows, targets, at)
+    assert len(left) == len(rows) and len(seen) == len(set(seen))
+    one = [pairs.rule_floor(0.0).scores(records, rows[k : k + 1], targets, at[k : k + 1])[1][0] for k in range(0, len(rows), 17)]
+    assert scores[::17].tolist() == one
+
+
+def test_rounded_scores_are_those_of_spark(spark):
+    rec = odd_records(spark).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    plain = B.strong(ref, tgt, BLOCKERS, pairs.rule_floor(0.0)).select("s1_id", "candidate_id", F.round("score", 6).alias("score"))
+    got = B.strong(ref, tgt, BLOCKERS, pairs.rule_floor(0.0), 6)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
