@@ -199,3 +199,22 @@ def test_rounded_scores_are_those_of_spark(spark):
     plain = B.strong(ref, tgt, BLOCKERS, pairs.rule_floor(0.0)).select("s1_id", "candidate_id", F.round("score", 6).alias("score"))
     got = B.strong(ref, tgt, BLOCKERS, pairs.rule_floor(0.0), 6)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_features_compare_distinct_texts_once(spark, monkeypatch):
+    seen = compared(monkeypatch, measures if hasattr(measures, "distances") else bounds)
+    ref, tgt = repeated(spark, measures.columns())
+    targets = measures.Wide(tgt)
+    records = measures.Wide(ref, targets)
+    rows, at = (x.ravel() for x in np.meshgrid(np.arange(len(ref)), np.arange(len(tgt)), indexing="ij"))
+    flags = {"token_name": (rows + at) % 2 == 0}
+
+    def made(k: slice, digits: int | None) -> dict:
+        return measures.measures(records, rows[k], targets, at[k], {n: v[k] for n, v in flags.items()}, pairs.PROVENANCE, None, digits)
+
+    every, near = made(slice(None), None), made(slice(None), 6)
+    assert set(every) == set(pairs.FEATURES) and len(seen) == 2 * len(set(seen))
+    for name, values in every.items():
+        assert measures.rounded(values, 6).tolist() == near[name].tolist()
+    for k in range(0, len(rows), 37):
+        assert {n: v[k] for n, v in every.items()} == {n: v[0] for n, v in made(slice(k, k + 1), None).items()}
