@@ -218,3 +218,27 @@ def test_features_compare_distinct_texts_once(spark, monkeypatch):
         assert measures.rounded(values, 6).tolist() == near[name].tolist()
     for k in range(0, len(rows), 37):
         assert {n: v[k] for n, v in every.items()} == {n: v[0] for n, v in made(slice(k, k + 1), None).items()}
+
+
+def test_cells_of_a_task_are_added_up(spark, monkeypatch):
+    """Counts leave a task once for each code and label, whatever the number of batches of pairs."""
+    rec = odd_records(spark).cache()
+    ref, tgt = rec.filter("source = 1"), rec.filter("source > 1")
+    truth = ref.select(F.col("entity_id").alias("s1_id"), F.array(F.lit("S2-001"), F.lit("S3-002")).alias("truth")).distinct()
+    plain, asked = products._product, []
+    monkeypatch.setattr(products, "_product", lambda *args: asked.append(args) or plain(*args))
+    want = products.pair_cells(ref, tgt, B._bags(BLOCKERS), tuple(sorted(BLOCKERS)), {"name_edit_sim": 1.0, "block_count": 3.0}, truth)
+    a, b, bags, more, run = asked[0][:5]
+    refs = products._side(a, {"id": "entity_id"}, [x.ref for x in bags], more).toArrow().combine_chunks().to_batches()[0]
+    targets = products._side(b, {"id": "entity_id", "source": "source"}, [x.tgt for x in bags], more).toArrow()
+    monkeypatch.setattr(products, "OUT_ROWS", 5)
+    left = [(r["code"], r["label"], r["n"]) for x in run(refs, products._Targets(targets, len(bags))) for r in x.to_pylist()]
+    assert sorted(left) == sorted(map(tuple, want.collect())) and len({x[1] for x in left}) == 2
+
+
+def test_counts_are_summed():
+    parts = [(np.array([3, 5]), np.array([1, 2])), (np.array([1, 5]), np.array([4, 8]))]
+    keys, n = products._summed(parts)
+    assert keys.tolist() == [1, 3, 5] and n.tolist() == [4, 1, 10]
+    assert products._among(np.array([0, 2, 9]), np.array([2, 4])).tolist() == [False, True, False]
+    assert products._among(np.array([1]), np.array([], dtype=np.int64)).tolist() == [False]
